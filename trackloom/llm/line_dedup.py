@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .url_filter import host_of
 
-RATIO = 0.3
+RATIO = 0.01
 LEAST = 5
 
 _BLOCK = r"(?i)</?(p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|nav|main|aside|article|section|header|footer|title|head|body|html|table|thead|tbody|tr|td|th|pre|blockquote|form|option)\b[^>]*>"
