@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: One run of the white space that all contracts name: space, tab, LF, VT, FF, CR.
 WS_RUN = r"[\x20\x09-\x0D]+"
@@ -47,3 +48,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Blocks of a Bloom filter at most, so its table may be broadcast whatever the data; beyond it only the share of false
+#: positives rises.
+MOST_BLOCKS = 1 << 20
+
+
+def bloom_probe(key: Column, blocks: int) -> tuple[Column, Column]:
+    """`block` and the four `bits` of a key in a blocked Bloom filter of 64-bit blocks."""
+    h = F.xxhash64(key, F.lit(7))
+    bit = lambda n: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, n).bitwiseAND(F.lit(63)).cast("int"))
+    return F.pmod(F.xxhash64(key), F.lit(blocks)).alias("block"), bit(0).bitwiseOR(bit(6)).bitwiseOR(bit(12)).bitwiseOR(bit(18)).alias("bits")
+
+
+def bloom_blocks(n_keys: int) -> int:
+    return min(MOST_BLOCKS, max(64, 1 << (n_keys // 4).bit_length()))
+
+
+def bloom_table(keys: DataFrame, key: Column, blocks: int) -> DataFrame:
+    """(block, word) of all keys: at most MOST_BLOCKS rows."""
+    return keys.select(*bloom_probe(key, blocks)).groupBy("block").agg(F.bit_or("bits").alias("word"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WS_RUN, cut, drop, table
+from .common import WS_RUN, bloom_blocks, bloom_probe, bloom_table, cut, drop, table
 
 FIRST_BYTES = 64
 GROWTH = 8
@@ -40,7 +40,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def settle(d: DataFrame, g: DataFrame, keys: list[str], width: int) -> DataFrame:
         """Rows with their group; `rest` is null as soon as a row is settled."""
         open_ = F.col("n").isNotNull() & ~F.col("ended")
-        j = d.join(g, keys, "left")
+        j = d.join(g.hint("merge"), keys, "left")
         return j.select(
             "uid", "doc_id", "sha", F.when(F.col("n").isNotNull(), F.col("gid")).alias("gid"),
             F.coalesce("n", F.lit(1)).cast("long").alias("n"), F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
@@ -50,6 +50,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     width, level = first, 0
     g = groups(raw.select("doc_id", *head(width)), ["digit", "ended"])
     d = raw.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "b", F.sha2("b", 256).alias("sha"), *head(width))
+    # Most texts share their first digit with none. A Bloom filter of the shared ones (of bounded size) tells most of them
+    # before the shuffle, so their text stays where it is; the join decides.
+    blocks = bloom_blocks(g.count())
+    shared = bloom_table(g, F.col("digit"), blocks)
+    d = d.select("*", *bloom_probe(F.col("digit"), blocks)).join(F.broadcast(shared), "block", "left")
+    d = d.withColumn("b", F.when(F.col("word").bitwiseAND(F.col("bits")) == F.col("bits"), F.col("b"))).drop("block", "bits", "word")
     cur = cut(settle(d, g, ["digit", "ended"], width), "radix-0")
     drop(g)
     done = [cur.where("rest is null").drop("rest").withColumn("level", F.lit(0))]

@@ -15,11 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import bloom_blocks, bloom_probe, bloom_table, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Blocks of the filter at most; more listed URLs only raise its share of false positives.
-MOST_BLOCKS = 1 << 20
 #: The rules of the query: (host, path, verdict).
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
@@ -32,13 +30,6 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, "://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def _probe(key: Column, blocks: int) -> tuple[Column, Column]:
-    """Block number and the four bits of a key."""
-    h = F.xxhash64(key, F.lit(7))
-    bit = lambda n: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, n).bitwiseAND(F.lit(63)).cast("int"))
-    return F.pmod(F.xxhash64(key), F.lit(blocks)).alias("block"), bit(0).bitwiseOR(bit(6)).bitwiseOR(bit(12)).bitwiseOR(bit(18)).alias("bits")
-
-
 def judge(pages: DataFrame, listed: DataFrame, default: str = "allow") -> DataFrame:
     """page_id, host, path, rule, verdict. listed: host, path, verdict."""
     rules = listed.where("host is not null and path is not null").groupBy("host", "path").agg(F.min("verdict").alias("verdict"))
@@ -47,8 +38,8 @@ def judge(pages: DataFrame, listed: DataFrame, default: str = "allow") -> DataFr
     p = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     if not shapes:
         return p.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
-    blocks = min(MOST_BLOCKS, max(64, 1 << (rules.count() // 4).bit_length()))
-    bloom = rules.select(*_probe(F.col("rule"), blocks)).groupBy("block").agg(F.bit_or("bits").alias("word"))
+    blocks = bloom_blocks(rules.count())
+    bloom = bloom_table(rules, F.col("rule"), blocks)
 
     urls = p.where("host <> ''").select("url", "host", "path").distinct()
     label = F.split("host", r"\.")
@@ -57,7 +48,7 @@ def judge(pages: DataFrame, listed: DataFrame, default: str = "allow") -> DataFr
         for n, m in shapes
     ]
     cand = urls.select("url", F.explode(F.array_compact(F.array(*keys))).alias("key"))
-    cand = cand.select("url", "key", *_probe(F.col("key"), blocks))
+    cand = cand.select("url", "key", *bloom_probe(F.col("key"), blocks))
     maybe = cand.join(F.broadcast(bloom), "block").where(F.col("word").bitwiseAND(F.col("bits")) == F.col("bits"))
     hits = maybe.join(rules, F.col("key") == F.col("rule")).groupBy("url")
     hits = hits.agg(F.max(F.struct(F.length("rule").alias("n"), "labels", "rule", "verdict")).alias("hit"))
