@@ -15,7 +15,8 @@ from .common import cut, drop
 def components(links: DataFrame) -> DataFrame:
     """links (a, b), any direction, without nulls -> (node, component): the smallest node reachable, for linked nodes."""
     up = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    cur, mark = cut(up, "links"), None
+    cur = cut(up, "links")
+    mark = _mark(cur)
     while True:
         # Large star: each node's larger neighbours move to the smallest of its neighbours and itself.
         low = cur.groupBy("u").agg(F.min("v").alias("m"))
@@ -28,7 +29,12 @@ def components(links: DataFrame) -> DataFrame:
         small = cut(moved.union(low.select("u", F.col("m").alias("v"))).distinct(), "small")
         drop(cur, large)
         cur = small
-        now = tuple(cur.agg(F.count(F.lit(1)), F.sum(F.col("v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("u", "v"))).first())
+        now = _mark(cur)
         if now == mark:
             return cur.select(F.col("u").alias("node"), F.col("v").alias("component"))
         mark = now
+
+
+def _mark(edges: DataFrame) -> tuple:
+    """Equal for equal sets of edges."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.col("v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("u", "v"))).first())

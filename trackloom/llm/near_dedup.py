@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -34,7 +35,7 @@ BANDS, ROWS = 28, 4
 #: deviation of 3.2; 30 is six deviations off.
 FAR_BITS = 30
 #: Rounds with drawn centres at least; more follow while they find links.
-ROUNDS = 2
+ROUNDS = 1
 CACHE_WORDS = 300_000
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -173,7 +174,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     sizes = member.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     member = cut(member.join(sizes.select("key"), "key").distinct(), "buckets")
 
-    texts, tried, links, label = None, None, None, None
+    texts, tried, label = None, None, None
     turn = 0
     while True:
         cur = member
@@ -208,8 +209,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         found = cut(confirm(edges, texts, shingle, percent), "found")
         tried = edges if tried is None else tried.unionByName(edges)
         if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            label = components(links)
+            known = [] if label is None else [label.select(F.col("node").alias("a"), F.col("component").alias("b"))]
+            label = components(reduce(DataFrame.unionByName, known, found))
         elif turn >= ROUNDS:
             break
         turn += 1
