@@ -13,7 +13,7 @@ from .common import cut, drop
 
 
 def components(links: DataFrame) -> DataFrame:
-    """links (a, b), any direction, without nulls -> (node, component): the smallest node reachable, for linked nodes."""
+    """links (a, b), any direction, without nulls -> (node, component): the smallest node reachable, for every linked node but that smallest one."""
     up = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     cur = cut(up, "links")
     mark = _mark(cur)
