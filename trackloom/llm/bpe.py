@@ -1,11 +1,12 @@
 """Byte-level BPE with a hierarchical-bitmap rank queue.
 
-A pre-token's bytes form a linked list. Every adjacent pair whose join has a rank puts its left position into the bucket
-of that rank; a two-level bitmap over the ranks gives the lowest non-empty bucket by find-first-set. Merging takes
-the positions of a bucket in ascending order, skips entries that have gone stale (the left part is gone or no longer
-joins to this rank), relinks the list and enters the two new pairs. Each merge costs a few bit operations, so a
-pre-token of n bytes takes O(n log n) (a bucket that gets entries out of order is a heap), where scanning all pairs
-would take n^2.
+The bytes of many pre-tokens form one linked list, a separator between them. Every adjacent pair whose join has a rank
+puts its left position into the bucket of that rank; a two-level bitmap over the ranks gives the lowest non-empty bucket
+by find-first-set. Merging takes the positions of a bucket in ascending order, skips entries that have gone stale (the
+left part is gone or no longer joins to this rank), relinks the list and enters the two new pairs. Pre-tokens do not
+touch each other, so the lowest rank of all is the lowest of each pre-token that holds it, and one queue serves a whole
+block of them. A pre-token of n bytes takes O(n log n) (the sorting of buckets), where scanning all pairs would take
+n^2.
 
 Texts are cut into units: a text whose white space is single spaces between other characters falls apart at each space,
 as no match of the pattern crosses one; every unit is matched, merged once and remembered (bounded). Other texts are
@@ -19,10 +20,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,8 @@ from .common import table
 #: Units and pre-tokens that a worker remembers.
 CACHE_UNITS, CACHE_TOKENS = 400_000, 400_000
 LONGEST_CACHED = 64
+#: Characters of texts whose new pre-tokens are merged together, about.
+BLOCK_CHARS = 2_000_000
 SHIFT = 8  # bits of a rank below a bitmap word
 MASK = (1 << SHIFT) - 1
 
@@ -42,29 +46,29 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Buckets of positions by rank, and a two-level bitmap of the buckets that hold any. A bucket of one is the
-    position itself, a larger one a heap. It is empty again after each pre-token, so one queue serves them all."""
+    """Buckets of positions by rank, and a two-level bitmap of the buckets that hold any."""
 
     __slots__ = ("buckets", "top", "low")
 
     def __init__(self, ranks: int) -> None:
-        self.buckets: dict[int, int | list[int]] = {}
+        self.buckets: dict[int, list[int]] = {}
         self.top, self.low = 0, [0] * ((ranks >> SHIFT) + 1)
 
+    def fill(self, rank: int, positions: list[int]) -> None:
+        self.buckets[rank] = positions
+        hi = rank >> SHIFT
+        self.low[hi] |= 1 << (rank & MASK)
+        self.top |= 1 << hi
+
     def push(self, rank: int, pos: int) -> None:
         b = self.buckets.get(rank)
         if b is None:
-            self.buckets[rank] = pos
-            hi = rank >> SHIFT
-            self.low[hi] |= 1 << (rank & MASK)
-            self.top |= 1 << hi
-        elif b.__class__ is int:
-            self.buckets[rank] = [b, pos] if b < pos else [pos, b]
+            self.fill(rank, [pos])
         else:
-            heapq.heappush(b, pos)
+            b.append(pos)
 
-    def pop(self) -> tuple[int, int | list[int]]:
-        """The lowest rank with entries and its bucket, by find-first-set; the bucket leaves the queue."""
+    def pop(self) -> tuple[int, list[int]]:
+        """The lowest rank with entries and its bucket in ascending order, by find-first-set; the bucket leaves the queue."""
         t = self.top
         hi = (t & -t).bit_length() - 1
         w = self.low[hi]
@@ -74,111 +78,149 @@ class RankQueue:
         self.low[hi] = w
         if not w:
             self.top = t & (t - 1)
-        return rank, self.buckets.pop(rank)
-
-
-def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
-    """Ids of a pre-token: the pair of the lowest rank is joined first, of equal ones the leftmost."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    n = len(piece)
-    get, push = ranks.get, queue.push
-    part: list[bytes] = [piece[i : i + 1] for i in range(n)]
-    nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-    rank_at = [get(piece[i : i + 2], -1) for i in range(n - 1)]  # of the pair that starts here; -1: none
-    rank_at.append(-1)
-    for i, r in enumerate(rank_at):
-        if r >= 0:
-            push(r, i)
-    while queue.top:
-        rank, bucket = queue.pop()
-        if bucket.__class__ is int:
-            i, bucket = bucket, None
-        else:
-            i = heapq.heappop(bucket)
-        while True:
-            lower = False
-            if rank_at[i] == rank:  # else stale
+        bucket = self.buckets.pop(rank)
+        bucket.sort()
+        return rank, bucket
+
+
+class Merger:
+    """Merges blocks of pre-tokens by the ranks; an id is the rank of its bytes."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.ranks, self.most = ranks, max(ranks.values())
+        self.shift = (self.most + 2).bit_length()
+        #: Rank of two neighbours, by their ids.
+        self.pairs: dict[int, int] = {}
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                a, b = ranks.get(token[:i]), ranks.get(token[i:])
+                if a is not None and b is not None:
+                    self.pairs[a << self.shift | b] = rank
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_pairs = np.full((256, 256), -1, np.int64)
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.byte_pairs[token[0], token[1]] = rank
+
+    def merge(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each pre-token: the pair of the lowest rank is joined first, of equal ones the leftmost."""
+        data = np.frombuffer(b"\0" + b"\0".join(pieces) + b"\0", np.uint8)
+        ends = np.cumsum([len(p) + 1 for p in pieces])
+        gaps = np.concatenate([[0], ends])
+        ids = self.byte_ids[data]
+        ids[gaps] = self.most + 1  # joins with nothing
+        first = np.full(len(data), -1, np.int64)
+        first[:-1] = self.byte_pairs[data[:-1], data[1:]]
+        first[gaps] = -1
+        first[gaps[1:] - 1] = -1
+
+        queue = RankQueue(self.most)
+        at = np.flatnonzero(first >= 0)
+        at = at[np.argsort(first[at], kind="stable")]
+        found, where = np.unique(first[at], return_index=True)
+        for rank, positions in zip(found.tolist(), np.split(at, where[1:])):
+            queue.fill(rank, positions.tolist())
+
+        sym, rank_at, shift = ids.tolist(), first.tolist(), self.shift
+        nxt, prv = list(range(1, len(sym) + 1)), list(range(-1, len(sym) - 1))
+        get, push = self.pairs.get, queue.push
+        while queue.top:
+            rank, bucket = queue.pop()
+            left = rank << shift
+            for nth, i in enumerate(bucket, 1):
+                if rank_at[i] != rank:
+                    continue  # stale
                 j = nxt[i]
-                part[i] = joined = part[i] + part[j]
-                nxt[i] = k = nxt[j]
-                rank_at[j] = -1
-                if k < n:
-                    prv[k] = i
-                    rank_at[i] = r = get(joined + part[k], -1)
-                    if r >= 0:
-                        push(r, i)
-                        lower = r < rank
-                else:
-                    rank_at[i] = -1
+                k = nxt[j]
+                sym[i], sym[j], rank_at[j] = rank, -1, -1
+                nxt[i], prv[k] = k, i
+                rank_at[i] = after = get(left | sym[k], -1)
+                if after >= 0:
+                    push(after, i)
                 h = prv[i]
-                if h >= 0:
-                    rank_at[h] = r = get(part[h] + joined, -1)
-                    if r >= 0:
-                        push(r, h)
-                        lower = lower or r < rank
-            if not bucket:
-                break
-            if lower or rank in queue.buckets:  # a lower rank came up, or more of this one: put the rest back
-                for p in bucket:
-                    push(rank, p)
-                break
-            i = heapq.heappop(bucket)
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[part[i]])
-        i = nxt[i]
-    return out
+                rank_at[h] = before = get(sym[h] << shift | rank, -1)
+                if before >= 0:
+                    push(before, h)
+                if 0 <= after < rank or 0 <= before < rank:  # a lower rank came up: it goes first
+                    for p in bucket[nth:]:
+                        push(rank, p)
+                    break
+        return [[x for x in sym[a + 1 : b] if x >= 0] for a, b in zip(gaps.tolist(), ends.tolist())]
 
 
 _SPACES = re.compile(r"\s | \s|^\s|\s$")
 
 
 class Codec:
-    """Encodes whole texts to ids and back; ids are kept as decimal strings, each string once."""
+    """Encodes whole texts to ids and back. What a unit or pre-token gives is kept as its decimal ids, joined by spaces,
+    and as the bytes that these ids decode to; both of a text are those of its parts one behind the other."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         import regex
 
-        self.ranks, self.queue, self.find = ranks, RankQueue(max(ranks.values())), regex.compile(pattern).findall
+        self.merger, self.find = Merger(ranks), regex.compile(pattern).findall
         self.decimal = {r: str(r) for r in ranks.values()}
-        self.bytes_of = {str(r): b for b, r in ranks.items()}
-        self.units: dict[str, tuple[str, ...]] = {}
-        self.tokens: dict[str, tuple[str, ...]] = {}
-
-    def _unit(self, unit: str) -> tuple[str, ...]:
-        out: list[str] = []
-        for t in self.find(unit):
-            ids = self.tokens.get(t)
-            if ids is None:
-                ids = tuple(self.decimal[i] for i in merge(t.encode("utf-8", "surrogatepass"), self.ranks, self.queue))
-                if len(t) <= LONGEST_CACHED:
-                    if len(self.tokens) > CACHE_TOKENS:
-                        self.tokens.clear()
-                    self.tokens[t] = ids
-            out += ids
-        return tuple(out)
-
-    def encode(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if _SPACES.search(text):
-            return list(self._unit(text))
-        first, *rest = text.split(" ")
-        out = list(self._unit(first))
-        units = self.units
-        if len(units) > CACHE_UNITS:
-            units.clear()
-        for u in set(rest).difference(units):
-            units[u] = self._unit(" " + u)
-        for ids in map(units.__getitem__, rest):
-            out += ids
-        for u in [u for u in rest if len(u) > LONGEST_CACHED]:
-            units.pop(u, None)
-        return out
-
-    def decode(self, ids: list[str]) -> bytes:
+        self.bytes_of = {r: b for b, r in ranks.items()}
+        self.units: tuple[dict[str, str], dict[str, bytes]] = ({}, {})
+        self.tokens: tuple[dict[str, str], dict[str, bytes]] = ({}, {})
+
+    def _learn(self, tokens: set[str]) -> None:
+        shown, back = self.tokens
+        new = list(tokens.difference(shown))
+        if new:
+            dec, raw = self.decimal.__getitem__, self.bytes_of.__getitem__
+            for t, ids in zip(new, self.merger.merge([t.encode("utf-8", "surrogatepass") for t in new])):
+                shown[t], back[t] = " ".join(map(dec, ids)), b"".join(map(raw, ids))
+
+    def round_trip_block(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
+        for cache, most in ((self.units, CACHE_UNITS), (self.tokens, CACHE_TOKENS)):
+            if len(cache[0]) > most:
+                cache[0].clear()
+                cache[1].clear()
+        shown, back = self.tokens
+        unit_shown, unit_back = self.units
+        cut: list[tuple[list[str], list[str]]] = []  # pre-tokens, then units that a space precedes
+        need: set[str] = set()
+        fresh: set[str] = set()
+        for text in texts:
+            whole = not text or _SPACES.search(text)
+            first, *rest = [text] if whole else text.split(" ")
+            found = self.find(first)
+            need.update(found)
+            fresh.update(rest)
+            cut.append((found, rest))
+        fresh.difference_update(unit_shown)
+        matched = {u: self.find(" " + u) for u in fresh}
+        need.update(chain.from_iterable(matched.values()))
+        self._learn(need)
+        for u, found in matched.items():
+            if len(found) == 1:
+                unit_shown[u], unit_back[u] = shown[found[0]], back[found[0]]
+            else:
+                unit_shown[u], unit_back[u] = " ".join([shown[t] for t in found]), b"".join([back[t] for t in found])
+        for found, rest in cut:
+            ids = " ".join(chain(map(shown.__getitem__, found), map(unit_shown.__getitem__, rest)))
+            yield ids, b"".join(chain(map(back.__getitem__, found), map(unit_back.__getitem__, rest)))
+        for parts, caches in ((fresh, self.units), (need, self.tokens)):
+            for x in [x for x in parts if len(x) > LONGEST_CACHED]:
+                for cache in caches:
+                    cache.pop(x, None)
+
+    def round_trip(self, texts: Iterable[str]) -> Iterator[tuple[str, bytes]]:
+        """Decimal ids joined by spaces, and the bytes that they decode to, of each text."""
+        block, size = [], 0
+        for t in texts:
+            block.append(t)
+            size += len(t)
+            if size >= BLOCK_CHARS:
+                yield from self.round_trip_block(block)
+                block, size = [], 0
+        yield from self.round_trip_block(block)
+
+    def encode(self, text: str) -> list[int]:
+        return list(map(int, next(self.round_trip([text]))[0].split()))
+
+    def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
@@ -198,10 +240,9 @@ def round_trip(docs: DataFrame, path: str, pattern: str, keep_ids: bool = False)
         c = codec(path, pattern)
         for pdf in batches:
             rows = []
-            for t in pdf["text"]:
-                ids = c.encode(t or "")
-                row = (len(ids), hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest())
-                rows.append((*row, list(map(int, ids))) if keep_ids else row)
+            for ids, back in c.round_trip(t or "" for t in pdf["text"]):
+                row = (ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back).hexdigest())
+                rows.append((*row, list(map(int, ids.split()))) if keep_ids else row)
             out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else [])])
             out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").to_numpy())
             yield out
