@@ -19,6 +19,7 @@ each. A text that is longer than the capacity is cut, and only such a text.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from bisect import bisect_left, insort
@@ -43,6 +44,8 @@ ROWS_PER_SLICE = 200_000
 
 _WORDS: dict[str, dict[str, bytes]] = {}
 _TOKENIZERS: dict[str, object] = {}
+#: Ids of the parts of words; None for a tokenizer that splits words in another way.
+_PIECES: dict[str, dict[str, bytes] | None] = {}
 
 
 def _tokenizer(path: str):
@@ -56,24 +59,59 @@ def _tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
+#: Words of these characters are in composed form, and each becomes lower case by itself.
+_SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
+#: How the tokenizer splits such words, in lower case.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
+#: The parts of a tokenizer that _SIMPLE and _PARTS stand for.
+_STEPS = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    "ByteLevel",
+)
+
+
+def _byte_chars() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: printable ones for themselves, the others from U+0100 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return {b: chr(0x100 + k) for k, b in enumerate(x for x in range(0x100) if x not in own)}
+
+
+_BYTE_CHARS = _byte_chars()
+
+
+def _steps(path: str) -> tuple:
+    conf = json.loads(_tokenizer(path).to_str())
+    split, *rest = (conf.get("pre_tokenizer") or {}).get("pretokenizers") or [None]
+    return conf.get("normalizer"), split, ",".join(x["type"] for x in rest)
+
+
 def _encode_words(path: str, words: list[str]) -> dict[str, bytes]:
-    """Ids of each word as little-endian bytes. Words are encoded in one string with the end-of-text token between
-    them, which the tokenizer splits off before anything else; words that hold special tokens go alone."""
-    tok, sep, out = _tokenizer(path), "<|endoftext|>", {}
-    plain = [w for w in words if "<|" not in w]
-    sep_id = tok.token_to_id(sep)
-    if sep_id is None:
-        plain = []
-    for i in range(0, len(plain), 256):
-        part = plain[i : i + 256]
-        ids = np.array(tok.encode(sep.join(part), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(ids == sep_id)
-        starts = [0, *(ends + 1).tolist()]
-        ends = [*ends.tolist(), len(ids)]
-        assert len(ends) == len(part)
-        raw = ids.tobytes()
-        for w, a, b in zip(part, starts, ends):
-            out[w] = raw[4 * a : 4 * b]
+    """Ids of each word as little-endian bytes. Words of simple characters go part by part to the tokenizer's model, each
+    part once while remembered; all others, and those that may hold a special token, go through the whole tokenizer."""
+    tok, out = _tokenizer(path), {}
+    if path not in _PIECES:
+        _PIECES[path] = {} if _steps(path) == _STEPS else None
+    known = _PIECES[path]
+    if known is not None:
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        tokenize = tok.model.tokenize
+
+        def ids_of(part: str) -> bytes:
+            shown = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_CHARS)
+            got = b"".join([t.id.to_bytes(4, "little") for t in tokenize(shown)])
+            if len(part) <= LONGEST_CACHED:
+                known[part] = got
+            return got
+
+        for w in words:
+            if _SIMPLE(w) and "<|" not in w:
+                low = w.lower()
+                if low.isalpha():
+                    out[w] = known.get(low) or ids_of(low)
+                else:
+                    out[w] = b"".join([known.get(p) or ids_of(p) for p in _PARTS(low)])
     for w in words:
         if w not in out:
             out[w] = np.array(tok.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
