@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut, table
 from .url_filter import host_of
 
 RATIO = 0.01
@@ -48,6 +48,7 @@ def lines_of(html: Column) -> Column:
 def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST) -> DataFrame:
     """page_id, host, text (the lines that stay), n_lines, n_dropped."""
     p = pages.select("page_id", host_of(F.col("url")).alias("host"), lines_of(F.col("html")).alias("lines"))
+    p = cut(p, "lines")  # the markup is read once
     key = lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(11), x).alias("b"))
     seen = p.select("host", F.explode(F.array_distinct(F.transform("lines", key))).alias("k")).groupBy("host", "k").agg(F.count(F.lit(1)).alias("n"))
     total = p.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= least)
