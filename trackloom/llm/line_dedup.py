@@ -53,7 +53,8 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST)
     seen = p.select("host", F.explode(F.array_distinct(F.transform("lines", key))).alias("k")).groupBy("host", "k").agg(F.count(F.lit(1)).alias("n"))
     total = p.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= least)
     often = seen.where(F.col("n") >= least).join(total, "host").where(F.col("n") > ratio * F.col("pages"))
-    stale = often.groupBy("host").agg(F.collect_set("k").alias("stale"))
+    # Written, so that the join deals its two sides itself: only then may Spark split the pages of a hot host.
+    stale = cut(often.groupBy("host").agg(F.collect_set("k").alias("stale")), "stale")
     out = p.join(stale, "host", "left").withColumn("stale", F.coalesce("stale", F.array().cast("array<struct<a:bigint,b:bigint>>")))
     out = out.withColumn("stay", F.filter("lines", lambda x: ~F.array_contains("stale", key(x))))
     return out.select("page_id", "host", F.array_join("stay", "\n").alias("text"), F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("stay")).cast("long").alias("n_dropped"))
