@@ -8,8 +8,8 @@ touch each other, so the lowest rank of all is the lowest of each pre-token that
 block of them. A pre-token of n bytes takes O(n log n) (the sorting of buckets), where scanning all pairs would take
 n^2.
 
-Texts are cut into units: a text whose white space is single spaces between other characters falls apart at each space,
-as no match of the pattern crosses one; every unit is matched, merged once and remembered (bounded). Other texts are
+Texts are cut into units: a text each of whose spaces stands between characters that are not white space falls apart at
+each space, as no match of the pattern crosses one; every unit is matched, merged once and remembered (bounded). Other texts are
 matched whole.
 
 Cases: null and empty texts have no ids; whole texts are encoded; ranks need not cover all pairs but must hold all 256
@@ -32,10 +32,12 @@ from pyspark.sql import functions as F
 from .common import table
 
 #: Units and pre-tokens that a worker remembers.
-CACHE_UNITS, CACHE_TOKENS = 400_000, 400_000
+CACHE_UNITS, CACHE_TOKENS = 600_000, 600_000
 LONGEST_CACHED = 64
-#: Characters of texts whose new pre-tokens are merged together, about.
-BLOCK_CHARS = 2_000_000
+#: Pre-tokens in one linked list: enough to share the queue, few enough to stay in a core's cache.
+TOGETHER = 2000
+#: Characters of texts whose new pre-tokens are gathered before they are merged, about.
+BLOCK_CHARS = 6_000_000
 SHIFT = 8  # bits of a rank below a bitmap word
 MASK = (1 << SHIFT) - 1
 
@@ -148,7 +150,18 @@ class Merger:
         return [[x for x in sym[a + 1 : b] if x >= 0] for a, b in zip(gaps.tolist(), ends.tolist())]
 
 
-_SPACES = re.compile(r"\s | \s|^\s|\s$")
+_SPACES = re.compile(r"\s | \s|^ | $")
+#: White space but space and line feed; most texts hold none of it.
+_RARE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
+
+
+def _falls_apart(text: str) -> bool:
+    """Whether each space of a text stands between two characters that are not white space; tried by plain searches first."""
+    if "  " in text or text[:1] in ("", " ") or text[-1] == " ":
+        return False
+    if "\n" in text and (" \n" in text or "\n " in text):
+        return False
+    return not (any(c in text for c in _RARE) and _SPACES.search(text))
 
 
 class Codec:
@@ -166,10 +179,18 @@ class Codec:
 
     def _learn(self, tokens: set[str]) -> None:
         shown, back = self.tokens
-        new = list(tokens.difference(shown))
-        if new:
-            dec, raw = self.decimal.__getitem__, self.bytes_of.__getitem__
-            for t, ids in zip(new, self.merger.merge([t.encode("utf-8", "surrogatepass") for t in new])):
+        dec, raw, ranks = self.decimal.__getitem__, self.bytes_of.__getitem__, self.merger.ranks
+        new, pieces = [], []
+        for t in tokens.difference(shown):
+            piece = t.encode("utf-8", "surrogatepass")
+            rank = ranks.get(piece)
+            if rank is None:
+                new.append(t)
+                pieces.append(piece)
+            else:  # a pre-token that has a rank itself is one id
+                shown[t], back[t] = dec(rank), raw(rank)
+        for at in range(0, len(new), TOGETHER):
+            for t, ids in zip(new[at : at + TOGETHER], self.merger.merge(pieces[at : at + TOGETHER])):
                 shown[t], back[t] = " ".join(map(dec, ids)), b"".join(map(raw, ids))
 
     def round_trip_block(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
@@ -183,8 +204,7 @@ class Codec:
         need: set[str] = set()
         fresh: set[str] = set()
         for text in texts:
-            whole = not text or _SPACES.search(text)
-            first, *rest = [text] if whole else text.split(" ")
+            first, *rest = text.split(" ") if _falls_apart(text) else [text]
             found = self.find(first)
             need.update(found)
             fresh.update(rest)
