@@ -37,7 +37,7 @@ from .common import cut, partitions, table
 CAPACITY = 2048
 END_ID = 0
 #: Words whose ids a worker remembers; then it begins anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 LONGEST_CACHED = 48
 #: Rows of one length that a task ranks at most, about; the salt follows the number of rows.
 ROWS_PER_SLICE = 200_000
