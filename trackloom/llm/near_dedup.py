@@ -9,7 +9,14 @@
 3. Each bucket names a centre, and each member has one edge to it: as many edges as members, never all pairs. A 112-bit
    sketch of the signature (one bit a bin) drops an edge whose ends are far apart.
 4. Edges are confirmed on the full shingle sets, links give components. Then further rounds with other centres (drawn
-   per bucket) try the members that are not in their centre's component, until a round finds no link.
+   per bucket) try the members of buckets of over SMALL members that are not in their centre's component, until a round
+   finds no link.
+5. What is left is settled without centres: every two members of a bucket that are in different components are
+   compared. In a bucket of at most SMALL members they become edges; a larger one is dealt into units of about UNIT
+   members, each pair of units is one group, and a group counts common shingles exactly with one matrix product. So two
+   texts that meet in a bucket are linked in a family of many texts on one template too; only in small buckets may the
+   sketch, at six deviations, drop a pair. The pairs of such a family are many by nature: the work there is quadratic,
+   the rows are quadratic over UNIT.
 
 Cases: null and empty texts have no shingles and are linked with nothing; a text with fewer words than a shingle is
 one shingle; rows with a null id are reported with their own null component and kept; repeated rows are one class;
@@ -24,7 +31,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, drop, table
@@ -34,8 +41,10 @@ BANDS, ROWS = 28, 4
 #: Of bands*rows sketch bits, how many an edge may differ in: at similarity 0.8 the mean is a tenth, 11 with a
 #: deviation of 3.2; 30 is six deviations off.
 FAR_BITS = 30
-#: Rounds with drawn centres at least; more follow while they find links.
-ROUNDS = 1
+#: Members of a bucket up to which all its pairs become edges, and members of a unit of a larger one.
+SMALL, UNIT = 32, 256
+#: Shingles that one matrix product covers.
+BLOCK = 4096
 CACHE_WORDS = 300_000
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -162,6 +171,107 @@ def confirm(edges: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
     return pairs.mapInPandas(run, "a long, b long")
 
 
+def _label(member: DataFrame, label: DataFrame | None) -> DataFrame:
+    """member with comp, the component of each row by label."""
+    if label is None:
+        return member.withColumn("comp", F.col("doc_id"))
+    cur = member.join(label.select(F.col("node").alias("doc_id"), F.col("component").alias("comp")), "doc_id", "left")
+    return cur.withColumn("comp", F.coalesce("comp", "doc_id"))
+
+
+def _far(x1: str, x2: str, y1: str, y2: str) -> Column:
+    return F.bit_count(F.col(x1).bitwiseXOR(F.col(y1))) + F.bit_count(F.col(x2).bitwiseXOR(F.col(y2)))
+
+
+def star_edges(cur: DataFrame, turn: int, far_bits: int) -> DataFrame:
+    """Edges (a, b) of each bucket's members to its centre, between components."""
+    order = F.col("doc_id") if turn == 0 else F.xxhash64(F.lit(turn), "key", "doc_id")
+    centre = cur.groupBy("key").agg(
+        F.min(F.struct(order.alias("o"), "doc_id", "s1", "s2", "comp")).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")
+    ).where("lo < hi")
+    centre = centre.select("key", F.col("c.doc_id").alias("c"), F.col("c.s1").alias("c1"), F.col("c.s2").alias("c2"), F.col("c.comp").alias("ccomp"))
+    edges = cur.join(centre, "key").where((F.col("comp") != F.col("ccomp")) & (_far("s1", "s2", "c1", "c2") <= far_bits))
+    return edges.select(F.least("doc_id", "c").alias("a"), F.greatest("doc_id", "c").alias("b")).distinct()
+
+
+def pair_edges(cur: DataFrame, far_bits: int) -> DataFrame:
+    """Edges (a, b) of all members of each bucket, between components; for buckets of at most SMALL members."""
+    x = cur.select("key", F.col("doc_id").alias("a"), F.col("s1").alias("x1"), F.col("s2").alias("x2"), F.col("comp").alias("ca"))
+    y = cur.select("key", F.col("doc_id").alias("b"), F.col("s1").alias("y1"), F.col("s2").alias("y2"), F.col("comp").alias("cb"))
+    return x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (_far("x1", "x2", "y1", "y2") <= far_bits)).select("a", "b").distinct()
+
+
+def common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of the sets have in common."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    met = times > 1
+    owner, at = owner[met[at]], (np.cumsum(met) - 1)[at[met[at]]]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    for lo in range(0, int(met.sum()), BLOCK):
+        i, j = np.searchsorted(at, (lo, lo + BLOCK))
+        m = np.zeros((len(sets), BLOCK), np.float32)
+        m[owner[i:j], at[i:j] - lo] = 1
+        out += (m @ m.T).astype(np.int64)
+    return out
+
+
+def _unit_links(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between the components of two units, as few as join what belongs together."""
+    sets = [np.asarray(s, np.int64) for s in pdf["shingles"]]
+    n = np.array([len(s) for s in sets])
+    both = common(sets)
+    comp, side, doc = pdf["comp"].to_numpy(), pdf["side"].to_numpy(), pdf["doc_id"].to_numpy()
+    ok = (100 * both >= percent * (n[:, None] + n[None, :] - both)) & (comp[:, None] != comp[None, :])
+    if side.min() != side.max():
+        ok &= side[:, None] != side[None, :]
+    root = {c: c for c in comp}
+    out = []
+    for i, j in np.argwhere(np.triu(ok, 1)):
+        x, y = comp[i], comp[j]
+        while root[x] != x:
+            x = root[x]
+        while root[y] != y:
+            y = root[y]
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append((doc[i], doc[j]))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
+def unit_links(cur: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) among all members of each bucket, between components; for buckets of any size.
+
+    Large components of a bucket are dealt into units of their own, which are never held against each other; the small
+    ones share units."""
+    counts = cur.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")).withColumn("big", F.col("n") > UNIT // 2)
+    mixed = counts.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.sum(F.when(~F.col("big"), F.col("n")).otherwise(0)).alias("small")).where("comps > 1")
+    counts = counts.join(mixed.select("key", "small"), "key")
+    tag = F.when(F.col("big"), F.col("comp")).otherwise(F.lit(0).cast("long"))
+    of = F.when(F.col("big"), F.col("doc_id")).otherwise(F.col("comp"))
+    units = F.ceil(F.when(F.col("big"), F.col("n")).otherwise(F.col("small")) / UNIT)
+    m = cur.join(counts, ["key", "comp"])
+    m = cut(m.select("key", "doc_id", "comp", F.struct("big", tag.alias("tag"), F.pmod(F.xxhash64(of), units).alias("salt")).alias("unit")), "members")
+    unit = m.select("key", "unit").distinct()
+    two = unit.withColumnRenamed("unit", "u").join(unit.withColumnRenamed("unit", "v"), "key").where("u <= v and not (u.big and v.big and u.tag = v.tag)")
+    two = two.select("key", "u", "v", F.explode(F.expr("array_distinct(array(u, v))")).alias("unit"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "shingles": [shingles_of(t, shingle).view(np.int64) for t in pdf["text"]]})
+
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    src = src.join(m.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sets = cut(src.mapInPandas(run, "doc_id long, shingles array<long>"), "sets")
+    rows = m.join(two, ["key", "unit"]).join(sets, "doc_id")
+    rows = rows.select("key", "u", "v", "doc_id", "comp", (F.col("unit") == F.col("u")).alias("side"), "shingles")
+    found = cut(rows.groupBy("key", "u", "v").applyInPandas(lambda pdf: _unit_links(pdf, percent), "a long, b long"), "found")
+    drop(m, sets)
+    return found
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, far_bits: int = FAR_BITS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of docs."""
     assert 1 <= bands * rows <= 128
@@ -171,36 +281,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     reps = solid.join(classes.where("copies > 1"), "set_key", "left").where("rep is null or doc_id = rep")
     member = reps.select("doc_id", "s1", "s2", F.explode("keys").alias("key"))
     # Buckets of one member are dropped before anything else is done with them.
-    sizes = member.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    member = cut(member.join(sizes.select("key"), "key").distinct(), "buckets")
+    sizes = member.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi")
+    member = cut(member.join(sizes.select("key", "size"), "key").distinct(), "buckets")
+    small, large = member.where(F.col("size") <= SMALL), member.where(F.col("size") > SMALL)
 
     texts, tried, label = None, None, None
-    turn = 0
-    while True:
-        cur = member
-        if label is None:
-            cur = cur.withColumn("comp", F.col("doc_id"))
-        else:
-            cur = cur.join(label.select(F.col("node").alias("doc_id"), F.col("component").alias("comp")), "doc_id", "left")
-            cur = cut(cur.withColumn("comp", F.coalesce("comp", "doc_id")), "labelled")
-        order = F.col("doc_id") if turn == 0 else F.xxhash64(F.lit(turn), "key", "doc_id")
-        centre = cur.groupBy("key").agg(
-            F.min(F.struct(order.alias("o"), "doc_id", "s1", "s2", "comp")).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")
-        ).where("lo < hi")
-        centre = centre.select("key", F.col("c.doc_id").alias("c"), F.col("c.s1").alias("c1"), F.col("c.s2").alias("c2"), F.col("c.comp").alias("ccomp"))
-        far = F.bit_count(F.col("s1").bitwiseXOR(F.col("c1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("c2")))
-        edges = cur.join(centre, "key").where((F.col("comp") != F.col("ccomp")) & (far <= far_bits))
-        edges = edges.select(F.least("doc_id", "c").alias("a"), F.greatest("doc_id", "c").alias("b")).distinct()
+
+    def settle(edges: DataFrame) -> bool:
+        """Confirm the edges not tried yet and take their links into the components; whether there were links."""
+        nonlocal texts, tried, label
         if tried is not None:
             edges = edges.join(tried, ["a", "b"], "left_anti")
         edges = cut(edges, "edges")
-        if label is not None:
-            drop(cur)
         if edges.isEmpty():
-            if turn >= ROUNDS:
-                break
-            turn += 1
-            continue
+            return False
         ends = edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         need = ends if texts is None else ends.join(texts.select("doc_id"), "doc_id", "left_anti")
@@ -208,12 +302,31 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         texts = more if texts is None else texts.unionByName(more)
         found = cut(confirm(edges, texts, shingle, percent), "found")
         tried = edges if tried is None else tried.unionByName(edges)
-        if not found.isEmpty():
-            known = [] if label is None else [label.select(F.col("node").alias("a"), F.col("component").alias("b"))]
-            label = components(reduce(DataFrame.unionByName, known, found))
-        elif turn >= ROUNDS:
-            break
-        turn += 1
+        return link(found)
+
+    def link(found: DataFrame) -> bool:
+        nonlocal label
+        if found.isEmpty():
+            return False
+        known = [] if label is None else [label.select(F.col("node").alias("a"), F.col("component").alias("b"))]
+        label = components(reduce(DataFrame.unionByName, known, found))
+        return True
+
+    settle(star_edges(_label(member, None), 0, far_bits))
+    if not large.isEmpty():
+        turn = 1
+        while True:
+            cur = cut(_label(large, label), "labelled")
+            more = settle(star_edges(cur, turn, far_bits))
+            if not more:
+                link(unit_links(cur, docs, shingle, percent))
+            drop(cur)
+            if not more:
+                break
+            turn += 1
+    cur = cut(_label(small, label), "labelled")
+    settle(pair_edges(cur, far_bits))
+    drop(cur)
 
     out = sig.select("doc_id", "n_shingles", "set_key").join(classes.where("copies > 1").select("set_key", "rep"), "set_key", "left")
     out = out.withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")))
