@@ -215,6 +215,17 @@ def test_quality_rules(spark, empty):
     assert quality_rules.quality_rules(empty).count() == 0
 
 
+def test_quality_rules_rejects_on_repeated_words_alone(spark):
+    """A share of repeated words just under the base rule's 0.30 is an outlier where nothing else repeats."""
+    rnd = random.Random(6)
+    texts = [" ".join("w%d" % rnd.randrange(400) for _ in range(rnd.randrange(60, 200))) for _ in range(80)]
+    block = [f"w{i}" for i in range(100, 120)]
+    odd = " ".join(block + block + ["w%d" % rnd.randrange(400) for _ in range(98)])
+    out = {r.doc_id: r for r in quality_rules.quality_rules(make(spark, [*texts, odd])).collect()}
+    assert out[80].n_repeat_words == 40 and not out[80].base_failed and not out[80].kept
+    assert sum(not out[i].kept for i in range(80)) == 0
+
+
 def test_quality_rules_location_is_the_trimmed_one(spark):
     """The parameters of one group against concentration steps in numpy."""
     rng = np.random.default_rng(1)

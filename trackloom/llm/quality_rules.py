@@ -30,8 +30,8 @@ DIMS = 5
 UNIT = 1024  # fixed-point steps of a statistic
 #: Least standard deviation of each coordinate.
 FLOOR = (0.30, 0.40, 0.70, 0.50, 0.06)
-#: Distance squared beyond which a row is rejected: for five normal coordinates one row in 10^9.
-CUTOFF = 50.0
+#: Distance squared beyond which a row is rejected: the 0.999 quantile of chi-square with five degrees of freedom.
+CUTOFF = 20.515
 #: Share of rows that a concentration step keeps, and by how much their covariance falls short at five coordinates.
 KEPT_SHARE, CONSISTENCY = 0.75, 1.41
 STEPS = 3
