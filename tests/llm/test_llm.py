@@ -98,6 +98,61 @@ def test_near_dedup_of_a_family_on_one_template(spark):
     assert got == want
 
 
+def variant(rng, words, n, tag):
+    words = list(words)
+    for k in rng.sample(range(len(words)), n):
+        words[k] = f"{tag}n{k}"
+    return words
+
+
+@pytest.mark.parametrize("changed, seed", [(3, 1), (5, 3)])
+def test_near_dedup_of_crowded_families(spark, changed, seed):
+    """Three templates of 100 words, 150 variants of each and a near copy of each variant."""
+    rng, texts = random.Random(seed), []
+    for t in range(3):
+        for v in range(150):
+            first = variant(rng, [f"t{t}w{k}" for k in range(100)], changed, f"s{t}v{v}a")
+            texts += [" ".join(first), " ".join(variant(rng, first, rng.randint(4, 6), f"s{t}v{v}b"))]
+    rng.shuffle(texts)
+    want = brute_components(texts, 2)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(make(spark, texts), shingle=2).collect()}
+    assert got == want
+
+
+def test_near_dedup_units_and_lots_of_any_size(spark, monkeypatch):
+    """Tiny units, weights, crowds and blocks give the same components."""
+    for name, value in (("UNIT", 8), ("WEIGHT", 900), ("CROWD", 3), ("BLOCK", 64), ("PAIRS", 50)):
+        monkeypatch.setattr(near_dedup, name, value)
+    rng, texts = random.Random(5), []
+    for v in range(60):
+        first = variant(rng, [f"w{k}" for k in range(80)], 3, f"v{v}a")
+        texts += [" ".join(first), " ".join(variant(rng, first, 5, f"v{v}b"))]
+    texts += [texts[3], None, "", "w1", "w1 w2", "W1\tw2"] + [" ".join(f"z{k}" for k in range(100) if k != d) for d in range(30)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(make(spark, texts), shingle=2).collect()}
+    assert got == brute_components(texts, 2)
+
+
+def test_near_dedup_of_short_texts(spark):
+    """Few shingles fill few bins; links among them are not lost."""
+    rng, texts = random.Random(6), []
+    for v in range(150):
+        n = rng.randint(3, 30)
+        words = [f"d{v}w{k}" for k in range(n)]
+        texts += [" ".join(words), " ".join(words + ["end"]), " ".join(words[1:]), " ".join(variant(rng, words, 1, "x"))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(make(spark, texts), shingle=2).collect()}
+    assert got == brute_components(texts, 2)
+
+
+def test_near_dedup_of_repeated_ids(spark):
+    """Rows of one id are judged by their own texts; an id goes only if none of its rows stays."""
+    w = [f"w{k}" for k in range(40)]
+    rows = [(1, " ".join(w)), (5, " ".join(w)), (5, "quite another text of its own"), (7, " ".join(w)), (7, " ".join(w)), (None, " ".join(w)), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", None, 7, True) for i, t in rows], SCHEMA)
+    got = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in near_dedup.near_duplicates(docs, shingle=2).collect())
+    assert got == sorted([("1", "1", True), ("5", "1", False), ("5", "5", True), ("7", "1", False), ("7", "1", False), ("None", "None", True), ("None", "None", True)])
+    assert sorted(str(r.doc_id) for r in near_dedup.drop_near_copies(docs, shingle=2).collect()) == ["1", "5", "5", "None", "None"]
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(20)] + [(100, 100 + i) for i in range(1, 50)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -12,11 +12,19 @@ from pyspark.sql import functions as F
 WS_RUN = r"[\x20\x09-\x0D]+"
 
 
+#: Scratch tables that have not been deleted, oldest first.
+_OPEN: list[DataFrame] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); a local one only where it is unset."""
+    """The shared folder of the cluster (spark.checkpoint.dir). Where it is unset, a folder in the warehouse, which
+    executors share too; only a local session, which is one machine, gets a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="trackloom-")
+        if spark.sparkContext.master.startswith("local"):
+            root = "file://" + tempfile.mkdtemp(prefix="trackloom-")
+        else:
+            root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_trackloom_scratch"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
@@ -29,6 +37,7 @@ def cut(df: DataFrame, label: str = "t") -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
+    _OPEN.append(out)
     return out
 
 
@@ -40,6 +49,17 @@ def drop(*tables: DataFrame | None) -> None:
             sc = t.sparkSession.sparkContext
             p = sc._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+            _OPEN[:] = [x for x in _OPEN if x is not t]
+
+
+def mark() -> int:
+    """How many scratch tables are open; see sweep."""
+    return len(_OPEN)
+
+
+def sweep(since: int, *keep: DataFrame) -> None:
+    """Delete the scratch tables written since the mark, but for those to keep."""
+    drop(*[t for t in _OPEN[since:] if not any(t is k for k in keep)])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
