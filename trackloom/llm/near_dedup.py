@@ -159,7 +159,8 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
 
 
 def _among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is among the ids. A Bloom filter of bounded size keeps most others out of the shuffle."""
+    """The rows whose key is among the ids, which are distinct. A Bloom filter of bounded size keeps most others out of
+    the shuffle; the join is an inner one, as a semi-join would be pushed below the filter."""
     n = ids.count()
     if n == 0:
         return rows.limit(0)
@@ -168,7 +169,7 @@ def _among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     block, bits = bloom_probe(F.col(key), blocks)
     some = rows.select("*", block.alias("_block"), bits.alias("_bits")).join(F.broadcast(bloom), "_block")
     some = some.where(F.col("_word").bitwiseAND(F.col("_bits")) == F.col("_bits")).select(*rows.columns)
-    return some.join(ids.select(key), key, "left_semi")
+    return some.join(ids.select(key), key).select(*rows.columns)
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
