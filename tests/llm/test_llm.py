@@ -246,7 +246,58 @@ def test_pii(spark, empty):
     out = {r.doc_id: r for r in pii.pseudonymise(docs, key, count_col="n").collect()}
     assert out[0].text == f"see {out[8].text} there" and out[9].text == "clean words" and out[10].text is None and out[11].text == ""
     assert all(out[i].n == 1 and values[i] not in out[i].text for i in range(8))
-    assert pii.pseudonymise(empty).count() == 0
+    assert pii.pseudonymise(empty, key).count() == 0
+    named = pii.pseudonymise(docs.withColumn("n", F.lit("clash")), key, count_col="n")
+    assert named.columns.count("n") == 1 and named.agg(F.sum("n")).first()[0] == 9
+    twice = pii.pseudonymise(docs.unionByName(docs), key).groupBy("doc_id").agg(F.countDistinct("text").alias("k"), F.count("*").alias("c"))
+    assert twice.where("c <> 2 or k > 1").count() == 0
+
+
+def hidden(v, key=b"k" * 16):
+    (span,) = pii.find(v)
+    assert span[:2] == (0, len(v)), v
+    new = pii.pseudonym(span[2], v, key)
+    assert new != v and pii.pseudonym(span[2], new, key, True) == v, v
+    return new
+
+
+def test_pii_secrets_of_any_length_and_alphabet():
+    rnd = random.Random(2)
+    body = "/" + "".join(rnd.choice("abcXYZ019_-+/.") for _ in range(10_000)) + "a=="
+    new = hidden("api_key: " + body)
+    assert sum(a == b for a, b in zip(new, "api_key: " + body) if a.isalnum()) < 2500
+    assert hidden("token=eyJhbGci.eyJzdWIi.SflK-xw_R")[:6] == "token="
+    text = "my token=abcdefgh1. Then more"
+    assert [text[a:b] for a, b, _ in pii.find(text)] == ["token=abcdefgh1"]
+
+
+def test_pii_social_security_numbers_stay_valid():
+    rnd = random.Random(3)
+    for _ in range(3000):
+        hidden(f"{rnd.choice([x for x in range(1, 900) if x != 666]):03d}-{rnd.randint(1, 99):02d}-{rnd.randint(1, 9999):04d}")
+    for edge in ("001-01-0001", "665-99-9999", "667-01-0001", "899-99-9999"):
+        hidden(edge)
+    assert all(pii.pseudonym("ssn", v, b"k") is None for v in ("000-12-3456", "666-12-3456", "900-12-3456", "123-00-4567", "123-45-0000"))
+
+
+def test_pii_links_spellings_of_one_value():
+    digits = lambda v: re.sub("[^0-9]", "", v)
+    six = ["+1 736 555 2678", "+1-736-555-2678", "+17365552678", "(736) 555-2678", "736-555-2678", "736.555.2678"]
+    new = [hidden(v) for v in six]
+    assert len({digits(v)[-10:] for v in new}) == 1 and [re.sub("[0-9]", "0", v) for v in new] == [re.sub("[0-9]", "0", v) for v in six]
+    assert hidden("JANE.Doe@x.com").lower() == hidden("jane.doe@x.com")
+    assert hidden("DE89 3704 0044 0532 0130 00").replace(" ", "") == hidden("DE89370400440532013000")
+    iso, dots, day, month = map(hidden, ("1999-12-31", "31.12.1999", "31/12/1999", "12/31/1999"))
+    y, m, d = iso.split("-")
+    assert dots == f"{d}.{m}.{y}" and day == f"{d}/{m}/{y}" and month == f"{m}/{d}/{y}"
+    assert hidden("0850-03-04")[:4] != "0850" and pii.pseudonym("day", "13/31/1999", b"k") is None
+
+
+def test_pii_no_value_is_its_own_pseudonym():
+    assert len({hidden(f"{a}@{b}.com") for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"}) == 676
+    for size in (2, 3, 10, 97):
+        assert sorted(pii.move(i, size, b"k", "t") for i in range(size)) == list(range(size))
+        assert all(pii.move(i, size, b"k", "t") != i == pii.move(pii.move(i, size, b"k", "t"), size, b"k", "t", True) for i in range(size))
 
 
 def test_quality_rules(spark, empty):
@@ -281,30 +332,112 @@ def test_quality_rules_rejects_on_repeated_words_alone(spark):
     assert sum(not out[i].kept for i in range(80)) == 0
 
 
-def test_quality_rules_location_is_the_trimmed_one(spark):
-    """The parameters of one group against concentration steps in numpy."""
-    rng = np.random.default_rng(1)
-    x = np.round(rng.normal(5, 1, (400, 5)) * quality_rules.UNIT).astype(int)
-    x[:40] += 40 * quality_rules.UNIT
-    d = spark.createDataFrame([("en", "s", *map(int, r)) for r in x], "lang string, source string, " + ", ".join(f"x{i} long" for i in range(5)))
-    got = quality_rules.location_and_scatter(d).where(F.col("grp").contains("\u0001")).first()
-    v = x / quality_rules.UNIT
-    med = np.median(v, 0)
-    cov = np.diag((1.4826 * np.median(abs(v - med), 0)) ** 2 + np.array(quality_rules.FLOOR) ** 2)
-    m = med
-    for _ in range(quality_rules.STEPS):
-        d2 = np.einsum("ij,jk,ik->i", v - m, np.linalg.inv(cov), v - m)
-        near = v[d2 <= np.sort(d2)[int(np.ceil(0.75 * len(v))) - 1]]
-        m, cov = near.mean(0), np.cov(near.T, bias=True) * quality_rules.CONSISTENCY + np.diag(np.array(quality_rules.FLOOR) ** 2)
-    assert np.allclose([got[f"m{i}"] for i in range(5)], m, atol=0.05)
-    low = np.linalg.cholesky(cov)
-    assert np.allclose([got[f"l{i}{i}"] for i in range(5)], np.diag(low), atol=0.1)
+def away(x):
+    return np.sign(x) * np.floor(np.abs(x) + 0.5)
+
+
+def lower_quantile(v, share):
+    v = np.sort(v)
+    return v[int(np.ceil(share * len(v))) - 1]
+
+
+def brute_mcd(x):
+    """(determinant, mean, covariance) of rows of fixed-point statistics, in numpy."""
+    q, floor, n = quality_rules, np.array(quality_rules.FLOOR) ** 2, len(x)
+    v = away(x / 16)
+    med = np.array([lower_quantile(c, 0.5) for c in v.T])
+    mad = np.array([lower_quantile(c, 0.5) for c in abs(v - med).T])
+    med, s = med * 16 / q.UNIT, np.sqrt((mad * 16 / q.UNIT * 1.4826) ** 2 + floor)
+    z = (x / q.UNIT - med) / s
+    norm = np.linalg.norm(z, axis=1, keepdims=True)
+    h, u = away(np.tanh(z) * q.SCORE), away(np.divide(z, norm, out=np.zeros_like(z), where=norm > 0) * q.SCORE)
+    best = None
+    for c in (np.eye(5), (h - h.mean(0)).T @ (h - h.mean(0)), u.T @ u):
+        scale = np.sqrt(np.outer(np.diag(c), np.diag(c)))
+        r = np.divide(c, scale, out=np.zeros_like(c), where=scale > 0) * q.TRUST
+        np.fill_diagonal(r, 1)
+        m, cov, det = med, r * np.outer(s, s), np.inf
+        while True:
+            d2 = np.einsum("ij,jk,ik->i", x / q.UNIT - m, np.linalg.inv(cov), x / q.UNIT - m)
+            step = np.floor(64 * np.log2(1 + d2))
+            near = x[step <= lower_quantile(step, q.KEPT_SHARE)] / q.UNIT
+            m2 = near.mean(0)
+            cov2 = (near.T @ near / len(near) - np.outer(m2, m2)) * q.CONSISTENCY + np.diag(floor)
+            if not np.linalg.det(cov2) < det * (1 - q.FALL):
+                break
+            m, cov, det = m2, cov2, np.linalg.det(cov2)
+        if best is None or det < best[0]:
+            best = (det, m, cov)
+    return best
+
+
+def test_quality_rules_scatter_is_the_least_of_all_starts(spark):
+    """Correlated groups with a quarter of far rows, against the search in numpy."""
+    rng, rows, groups = np.random.default_rng(1), [], {}
+    for g in range(4):
+        mix = rng.normal(size=(5, 5))
+        x = rng.normal(size=(300, 5)) @ mix * 1.5 + 20
+        x[: 15 * g] += rng.normal(8, 1, (15 * g, 5))
+        groups[g] = away(x * quality_rules.UNIT).astype(int)
+        rows += [("en", f"s{g}", *map(int, r)) for r in groups[g]]
+    d = spark.createDataFrame(rows, "lang string, source string, " + ", ".join(f"x{i} long" for i in range(5)))
+    got = {r.grp: r for r in quality_rules.location_and_scatter(d).collect()}
+    assert len(got) == 5
+    for g, x in [*groups.items(), (None, np.concatenate(list(groups.values())))]:
+        r = got["=en" if g is None else f"=en\u0001=s{g}"]
+        det, m, cov = brute_mcd(x)
+        low = np.linalg.cholesky(cov)
+        assert np.isclose(r.det, det, rtol=1e-6)
+        assert np.allclose([r[f"m{i}"] for i in range(5)], m) and np.allclose([r[f"l{i}{j}"] for i, j in quality_rules.PAIRS], [low[i, j] for i, j in quality_rules.PAIRS], atol=1e-6)
+
+
+def test_quality_rules_verdict_of_every_row(spark):
+    """kept, row by row, against numpy: two large groups, a small one that takes its language's parameters, a language
+    too small for any, nulls, empty texts and repeated rows."""
+    rnd, rows = random.Random(9), []
+    for k in range(260):
+        words = ["w" * rnd.randrange(1, 9) + str(rnd.randrange(90)) for _ in range(rnd.randrange(15, 150))]
+        if rnd.random() < 0.2:
+            words = [w + rnd.choice(["", "$$", "#"]) for w in words]
+        text = " ".join(w + ("\n" if rnd.random() < 0.1 else "") for w in words)
+        if k % 11 == 0:
+            text += "\nsame line\nsame line"
+        lang, source = [("en", "a"), ("en", "b"), ("en", "a"), (None, "a"), ("en", "c" if k % 3 else "b")][k % 5] if k < 240 else ("xx", "a")
+        rows.append((k, text, lang, source))
+    rows += [(300, None, "en", "a"), (301, "", None, None), rows[3], rows[3]]
+    docs = spark.createDataFrame([(*r, None, 7, True) for r in rows], SCHEMA)
+    out = quality_rules.quality_rules(docs)
+    got = sorted((r.doc_id, r.kept) for r in out.collect())
+    stats = quality_rules.base_statistics(docs).select("doc_id", "lang", "source", "base_failed", *quality_rules.transformed()).collect()
+    fine = [r for r in stats if not r.base_failed]
+    x = lambda rs: np.array([[r[f"x{i}"] for i in range(5)] for r in rs])
+    params = {}
+    for key in {(r.lang, r.source) for r in fine} | {(r.lang,) for r in fine}:
+        rs = [r for r in fine if (r.lang, r.source)[: len(key)] == key]
+        v = x(rs)
+        det, m, cov = brute_mcd(v)
+        # As many as the subset of a group of min_rows, or more: the group's own parameters count.
+        step_rows = len(v)
+        params[key] = (step_rows, m, cov)
+    want = []
+    for r in stats:
+        own, wide = params.get((r.lang, r.source)), params.get((r.lang,))
+        use = own if own and own[0] >= quality_rules.MIN_ROWS else wide if wide and wide[0] >= quality_rules.MIN_ROWS else None
+        d2 = 0.0
+        if use is not None:
+            d = np.array([r[f"x{i}"] for i in range(5)]) / quality_rules.UNIT - use[1]
+            d2 = d @ np.linalg.inv(use[2]) @ d
+        want.append((r.doc_id, not r.base_failed and d2 <= quality_rules.CUTOFF))
+    assert got == sorted(want)
+    assert 0 < sum(not k for _, k in got) < 60
 
 
 def test_url_filter(spark):
     urls = ["http://A.net/x", "https://www.example.net/en/1?q", "http://example.com/de/#x", "http://sub.org/fr/", "http://net", "nothing", None, "x://notnet/", "http://example.com/fr/?u=http://a.net/", "http://a.net/x"]
     pages = spark.createDataFrame([(i, u, "h", "clash") for i, u in enumerate(urls)], "page_id long, url string, host string, rule string")
     listed = spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")
+    assert url_filter.judge(pages.limit(0), listed).count() == 0
+    assert sorted(map(tuple, url_filter.judge(pages.unionByName(pages), listed).collect()), key=str) == sorted(list(map(tuple, url_filter.judge(pages, listed).collect())) * 2, key=str)
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, listed).collect()}
     for i, u in enumerate(urls):
         m = re.search(r"://([^/?#]*)([^?#]*)", u or "")
@@ -314,9 +447,39 @@ def test_url_filter(spark):
     assert {r.verdict for r in url_filter.judge(pages, listed.limit(0)).collect()} == {"allow"}
 
 
+def test_url_filter_with_a_long_list(spark):
+    """Hundreds of listed URLs of many depths and path lengths against every suffix and prefix."""
+    rnd = random.Random(3)
+    rules = {("." .join(rnd.choice("abcd") for _ in range(rnd.randint(1, 4))), "/" + "".join(rnd.choice("xy/") for _ in range(rnd.randint(0, 6)))): rnd.choice(["allow", "block"]) for _ in range(400)}
+    urls = ["http://" + ".".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 6))) + "/" + "".join(rnd.choice("xyz/") for _ in range(rnd.randint(0, 9))) for _ in range(400)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    listed = spark.createDataFrame([(h, p, v) for (h, p), v in rules.items()], "host string, path string, verdict string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages, listed).collect()}
+    for i, u in enumerate(urls):
+        host, path = re.match(r"http://([^/]*)(.*)", u).groups()
+        fit = [(len(h + p), h.count("."), h + p, v) for (h, p), v in rules.items() if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        assert got[i] == (max(fit)[2:] if fit else (None, "allow"))
+
+
+def test_line_dedup_by_share(spark):
+    """Equal counts on sites of different size get different verdicts; a line at the ratio itself stays."""
+    page = lambda i, host, *lines: (i, f"http://{host}/{i}", "".join(f"<p>{x}" for x in lines))
+    rows = [page(i, "big", f"own {i}", *(["menu"] if i < 4 else []), *(["at ratio"] if i < 10 else []), *(["above"] if i < 11 else [])) for i in range(100)]
+    rows += [page(100 + i, "small", f"own {i}", *(["menu"] if i < 4 else []), *(["at ratio"] if i < 3 else [])) for i in range(30)]
+    rows += [page(200, "tiny", "once", "once"), page(201, "pair", "both"), page(202, "pair", "both"), page(203, "pair", "both")]
+    pages = spark.createDataFrame([(*r, "clash", 1) for r in rows], "page_id long, url string, html string, host string, n int")
+    got = {r.page_id: (r.text, r.n_dropped) for r in line_dedup.drop_boilerplate(pages).collect()}
+    assert got[0] == ("own 0\nmenu\nat ratio", 1) and got[10] == ("own 10", 1)
+    assert got[100] == ("own 0\nat ratio", 1) and got[110] == ("own 10", 0)
+    assert got[200] == ("once\nonce", 0) and got[201] == ("", 1)
+    assert line_dedup.drop_boilerplate(pages.limit(0)).count() == 0
+    twice = line_dedup.drop_boilerplate(pages.unionByName(pages))
+    assert twice.where("page_id = 0 and n_dropped = 1").count() == 2 and twice.where("page_id = 200 and text = ''").count() == 2
+
+
 def test_line_dedup(spark):
     rows = [(i, f"http://Host/{i}", f"<p>own {i}</p><footer>the &amp; same</footer><script>x</script>") for i in range(20)] + [(90, None, None), (91, "http://small/", "<p>a<p>a")]
-    got = {r.page_id: r for r in line_dedup.drop_boilerplate(spark.createDataFrame(rows, "page_id long, url string, html string"), ratio=0.3).collect()}
+    got = {r.page_id: r for r in line_dedup.drop_boilerplate(spark.createDataFrame(rows, "page_id long, url string, html string"), percent=30).collect()}
     assert all(got[i].text == f"own {i}" and got[i].n_dropped == 1 for i in range(20))
     assert got[90].text == "" and got[91].text == "a\na" and got[91].n_dropped == 0
 
