@@ -491,12 +491,76 @@ def test_classifiers_on_held_out_rows(spark, empty):
     texts = [*clean[100:], *bad, None, ""]
     docs = make(spark, texts)
     labels = spark.createDataFrame([(i, 1, int(200 <= i < 300)) for i in range(300) if i % 2], "doc_id long, quality int, toxic int")
-    out = {r.doc_id: r for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
+    out = {r.doc_id: r for r in toxicity.score(docs, toxicity.train(docs, toxicity.severities(labels))).collect()}
     assert all(out[i].kept == (i < 200) for i in range(300)) and out[300].kept and out[301].kept
     assert toxicity.drop_toxic(docs, labels).count() == 202
-    assert toxicity.score(docs, toxicity.train(docs, labels.limit(0))).where("not kept").count() == 0
+    assert toxicity.score(docs, toxicity.train(docs, toxicity.severities(labels.limit(0)))).where("not kept").count() == 0
     junk = make(spark, clean[:150] + ["$$$ ### | " * 30 + str(i) for i in range(50)])
     marks = spark.createDataFrame([(i, int(i < 150), 0) for i in range(200) if i % 2], "doc_id long, quality int, toxic int")
     out = {r.doc_id: r.kept for r in quality.score(junk, quality.train(junk, quality.grades_of(marks))).collect()}
     assert all(out[i] == (i < 150) for i in range(200))
     assert quality.score(empty, quality.train(junk, quality.grades_of(marks))).count() == 0
+
+
+def test_fit_is_as_good_as_a_plain_descent():
+    """The fitted likelihood against backtracking descent with numeric gradients on dense rows."""
+    from trackloom.llm import ordinal
+
+    rng = np.random.default_rng(3)
+    x = (rng.random((240, 6)) < 0.4).astype(float)
+    latent = x @ np.array([2.0, -1.5, 1.0, 0, 0.5, -0.5]) + rng.logistic(size=240)
+    grades = np.digitize(latent, [0.0, 1.5])
+    weight = rng.integers(1, 4, 240).astype(float)
+
+    def loss(p):
+        th = np.array([-np.inf, p[6], p[6] + np.exp(p[7]), np.inf])
+        s = x @ p[:6]
+        tail = lambda t: 1 / (1 + np.exp(-(t - s)))
+        like = tail(th[grades + 1]) - tail(th[grades])
+        return -(weight * np.log(like)).sum() / weight.sum() + 0.5 * 1e-4 * (p[:6] ** 2).sum()
+
+    p, rate = np.zeros(8), 1.0
+    for _ in range(400):
+        g = np.array([(loss(p + h) - loss(p - h)) / 2e-5 for h in np.eye(8) * 1e-5])
+        while loss(p - rate * g) > loss(p) - 0.3 * rate * g @ g and rate > 1e-9:
+            rate /= 2
+        p, rate = p - rate * g, min(4.0, rate * 2)
+    model = ordinal.fit([(np.flatnonzero(r), np.ones(int(r.sum()))) for r in x], grades, 3, weight)
+    w = np.array([model.weights.get(i, 0.0) for i in range(6)])
+    mine = loss(np.concatenate([w, [model.thresholds[0], np.log(model.thresholds[1] - model.thresholds[0])]]))
+    assert mine < loss(p) + 1e-3
+    tail = model.tail(np.linspace(-9, 9, 50))
+    assert (tail[:, 0] >= tail[:, 1]).all() and (np.diff(tail, axis=0) >= 0).all()
+
+
+def test_sample_counts_documents_once(spark):
+    """Repeated labels and labels without a document: each rated document counts once, by its largest grade."""
+    from trackloom.llm import ordinal
+
+    docs = make(spark, ["a b"] * 6 + [None])
+    ratings = spark.createDataFrame([(0, 1), (0, 1), (0, 0), (1, 0), (2, 0), (3, 0), (6, 0), (99, 0), (None, 1), (4, None)], "doc_id long, grade int")
+    assert ordinal.grade_counts(ratings, "grade") == {0: 5, 1: 1}
+    rows = ordinal.sample_rows(docs, ratings, "grade", 100).collect()
+    assert sorted((r.doc_id, r.grade) for r in rows) == [(0, 1), (1, 0), (2, 0), (3, 0), (6, 0)]
+    assert ordinal.sample_rows(docs, ratings, "grade", 2).where("grade = 0").count() <= 2
+    assert ordinal.stands_for({0: 9, 1: 1}, 3, np.array([0, 0, 1])).tolist() == [3, 3, 1]
+    with pytest.raises(ValueError):
+        ordinal.grade_counts(spark.range(100).selectExpr("id as doc_id", "cast(id as int) as grade"), "grade")
+
+
+def test_toxicity_of_graded_ratings(spark, empty):
+    """Four grades with words of their own: expected severity follows the grade on held-out rows, with nulls, empty
+    texts, repeated rows, labels without documents and no labels."""
+    rnd, words = random.Random(8), [[], ["mildly"], ["ruder", "mildly"], ["vilest", "ruder"]]
+    texts = [" ".join([f"w{rnd.choice('abcdefgh')}{rnd.choice('klmnop')}" for _ in range(30)] + words[i % 4]) for i in range(400)] + [None, ""]
+    docs = make(spark, texts)
+    docs = docs.unionByName(docs.where("doc_id < 4"))
+    ratings = spark.createDataFrame([(i, i % 4) for i in range(400) if i % 3] + [(5000, 3), (None, 2), (1, None)], "doc_id long, grade int")
+    model = toxicity.train(docs, ratings)
+    assert len(model.thresholds) == 3 and (np.diff(model.thresholds) > 0).all()
+    rows = toxicity.score(docs, model).collect()
+    assert len(rows) == 406 and len({(r.doc_id, r.expected_severity) for r in rows}) == 402
+    mean = [np.mean([r.expected_severity for r in rows if r.doc_id < 400 and r.doc_id % 3 == 0 and r.doc_id % 4 == g]) for g in range(4)]
+    assert mean[0] < 0.4 < mean[1] < mean[2] < mean[3] and mean[3] > 2.3
+    assert all(r.kept for r in rows if r.doc_id >= 400)
+    assert toxicity.score(empty, model).count() == 0 and toxicity.train(empty, ratings).weights == {}

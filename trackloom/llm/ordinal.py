@@ -18,8 +18,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 CACHE_WORDS = 400_000
+MOST_GRADES = 64
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 #: Feature names of a text with their values.
@@ -83,24 +85,30 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades:
     return Model(dict(zip(used.tolist(), par[: len(used)].round(6).tolist())), a[0] + np.concatenate([[0.0], np.cumsum(np.exp(a[1:]))]))
 
 
+def rated_once(ratings: DataFrame, grade: str) -> DataFrame:
+    """doc_id, grade: each rated document once, by its largest grade."""
+    return ratings.where(f"doc_id is not null and {grade} is not null").groupBy("doc_id").agg(F.max(grade).cast("int").alias("grade"))
+
+
+def grade_counts(ratings: DataFrame, grade: str) -> dict[int, int]:
+    """Rated documents of each grade. A scale has MOST_GRADES grades at most; more are an error."""
+    n = {int(r[0]): int(r[1]) for r in rated_once(ratings, grade).groupBy("grade").count().limit(MOST_GRADES + 1).collect()}
+    if len(n) > MOST_GRADES or min(n, default=0) < 0:
+        raise ValueError(f"grades must be whole numbers from 0 on, at most {MOST_GRADES} of them")
+    return n
+
+
 def sample_rows(docs: DataFrame, ratings: DataFrame, grade: str, sample: int) -> DataFrame:
-    """Up to `sample` rated rows of each grade with their texts: doc_id, text, grade. Bounded, so the ids may be
-    broadcast."""
-    parts = None
-    rated = ratings.where(f"doc_id is not null and {grade} is not null").groupBy("doc_id").agg(F.max(grade).cast("int").alias("grade"))
-    for k in (r[0] for r in rated.select("grade").distinct().orderBy("grade").limit(32).collect()):
-        x = rated.where(F.col("grade") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        parts = x if parts is None else parts.unionByName(x)
-    if parts is None:
-        return docs.select("doc_id", "text", F.lit(0).alias("grade")).limit(0)
-    return docs.select("doc_id", "text").join(F.broadcast(parts), "doc_id")
-
-
-def stands_for(ratings: DataFrame, grade: str, rated: np.ndarray) -> np.ndarray:
-    """How many rated rows each row of a sample stands for, by its grade: the fit sees the grades' true shares."""
-    n = {int(r[0]): r[1] for r in ratings.where(f"{grade} is not null").groupBy(F.col(grade).cast("int").alias("g")).count().collect()}
-    have = np.bincount(rated)
-    return np.array([n[g] / have[g] for g in rated.tolist()])
+    """Up to `sample` rated rows of each grade with their texts: doc_id, text, grade. The ids are at most MOST_GRADES
+    times `sample`, so they may be broadcast."""
+    w = Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id")
+    some = rated_once(ratings, grade).withColumn("_place", F.row_number().over(w)).where(F.col("_place") <= sample).drop("_place")
+    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
+
+
+def stands_for(counts: dict[int, int], sample: int, rated: np.ndarray) -> np.ndarray:
+    """How many rated documents each row of a sample stands for, by its grade: the fit sees the grades' true shares."""
+    return np.array([counts[g] / min(counts[g], sample) for g in rated.tolist()])
 
 
 def hashed(features: Features, text: str | None) -> tuple[np.ndarray, np.ndarray]:

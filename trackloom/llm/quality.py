@@ -1,10 +1,10 @@
 """Quality: expected grade by cumulative-link regression on hashed text.
 
 Ratings 0 to 2: 0 for a row of low quality, 1 for a sound but toxic row, 2 for a sound row that is not (the labels give
-two 0/1 marks, and the grade orders them). Hashed features: the shapes of white-space tokens (letters and digits
-folded, symbols kept) by their share, and shares of the whole text (distinct words, repeated lines, the most frequent
-word, symbols, word length) in steps. One weight vector serves all thresholds. A document gets its expected grade and
-the tail probability P(grade >= 1), by which it is kept.
+two 0/1 marks, and the grade orders them). Hashed features: the words of the text and the shapes of its white-space
+tokens (runs of letters and of digits folded, symbols kept), each by the root of its share, and shares of the whole text
+(distinct words, repeated lines, the most frequent word, symbols, word length) in steps. One weight vector serves all
+thresholds. A document gets its expected grade and the tail probability P(grade >= 1), by which it is kept.
 
 Cases: null and empty texts have the feature "empty" alone; repeated rows get equal grades; without labels of at least
 two grades all rows are kept; extra columns are passed over.
@@ -22,18 +22,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .ordinal import CACHE_WORDS, Model, bucket, fit, gather, sample_rows, stands_for
+from .ordinal import CACHE_WORDS, Model, bucket, fit, gather, grade_counts, sample_rows, stands_for
 
 SAMPLE = 3000
 GRADES = 3
 CUTOFF = 0.5
 
 _RUN = re.compile(r"[^\W\d_]+|[0-9]+")
+_WORDS = re.compile(r"[^\W\d_]+")
 _SHAPES: dict[str, str] = {}
 
 
 def _shape(token: str) -> str:
-    return _RUN.sub(lambda m: "9" if m[0][0].isdecimal() else "a", token[:64])[:16]
+    """The whole token with its runs folded; short ones are remembered."""
+    s = _SHAPES.get(token)
+    if s is None:
+        s = _RUN.sub(lambda m: "9" if "0" <= m[0][0] <= "9" else "a", token)
+        if len(token) <= 64:
+            if len(_SHAPES) > CACHE_WORDS:
+                _SHAPES.clear()
+            _SHAPES[token] = s
+    return s
 
 
 def text_features(text: str) -> dict[str, float]:
@@ -42,15 +51,14 @@ def text_features(text: str) -> dict[str, float]:
         return {"empty": 1.0}
     n = len(words)
     count = Counter(words)
-    if len(_SHAPES) > CACHE_WORDS:
-        _SHAPES.clear()
     shapes: dict[str, int] = {}
     for w, k in count.items():
-        s = _SHAPES.get(w)
-        if s is None:
-            s = _SHAPES[w] = _shape(w)
+        s = _shape(w)
         shapes[s] = shapes.get(s, 0) + k
     out = {"s:" + s: (k / n) ** 0.5 for s, k in shapes.items()}
+    inner = Counter(_WORDS.findall(text.lower()))
+    m = max(1, sum(inner.values()))
+    out |= {"w:" + w: (k / m) ** 0.5 for w, k in inner.items()}
     lines = [x for x in text.split("\n") if x.strip()]
     chars = sum(map(len, words))
     steps = {
@@ -73,12 +81,13 @@ def grades_of(labels: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model:
     """ratings: doc_id and an integer grade from 0 on."""
+    counts = grade_counts(ratings, "grade")
     rows = gather(sample_rows(docs, ratings, "grade", sample), text_features)
     grades = np.array([r[3] for r in rows], np.int64)
     if len(set(grades.tolist())) < 2:
         return Model({}, np.full(GRADES - 1, -40.0))
     data = [(r[1], r[2].astype(np.float64)) for r in rows]
-    return fit(data, grades, max(GRADES, int(grades.max()) + 1), stands_for(ratings, "grade", grades))
+    return fit(data, grades, max(GRADES, int(grades.max()) + 1), stands_for(counts, sample, grades))
 
 
 def score(docs: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFrame:

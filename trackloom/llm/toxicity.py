@@ -1,10 +1,11 @@
 """Toxicity: severity grades by cumulative-link regression on sparse word and stem features.
 
-The labels are binary, so grades are made of them on the training sample: 0 for a row that is not toxic; for a toxic
-row, 1 to 3 by how many different features it holds that tell toxic rows from others (up to 2, up to 5, more). The fit
-shares its weights across the thresholds; a document is scored by the sum of the weights of its distinct words and
-stems, and gets its expected severity and the probability of any severity above 0. Rows with that probability at or
-above `cutoff` are rejected.
+Severity comes from the ratings alone, never from the features: a table of graded ratings gives as many thresholds as it
+has grades above 0. The sample tables hold one 0/1 mark, which allows one threshold; there expected severity is the
+probability of grade 1. (Grades made of both marks were tried and lowered the share of toxic rows found.)
+The fit shares its weights across the thresholds, over the words and stems that tell toxic rows from
+others; a document is scored by the sum of the weights of its distinct words and stems, and gets its expected severity
+and the probability of any severity above 0. Rows with that probability at or above `cutoff` are rejected.
 
 Cases: null and empty texts score the bias alone and are kept; repeated rows get equal scores; without labels of both
 kinds nothing is rejected (severity 0); extra columns are passed over.
@@ -20,12 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .ordinal import _LETTERS, CACHE_WORDS, Model, bucket, fit, gather, sample_rows, stands_for, word_parts
+from .ordinal import _LETTERS, CACHE_WORDS, Model, bucket, fit, gather, grade_counts, sample_rows, stands_for, word_parts
 
 #: Labelled rows of each kind in the fit, at most.
 SAMPLE = 3000
 CUTOFF = 0.35
-GRADES = 4
+GRADES = 2
 
 
 def word_features(text: str) -> dict[str, float]:
@@ -36,14 +37,16 @@ def word_features(text: str) -> dict[str, float]:
     return out
 
 
-def telling(idx: list[np.ndarray], toxic: np.ndarray, least: float = 10.0, purity: float = 0.7) -> list[np.ndarray]:
+def telling(idx: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, least: float = 6.0, purity: float = 0.7) -> list[np.ndarray]:
     """Features most of whose rows are toxic, beyond chance: the log-likelihood gain over the overall share of toxic
-    rows is `least` or more (for so many features, one such by chance in a model). The others, most of all words,
-    would add noise to long documents."""
+    rows is `least` or more (a chance of one in some 400 a feature). The others, most of all words,
+    would add noise to long documents. Rows count as many as they stand for, scaled to the size of the sample, so both
+    bounds mean the same whatever was sampled."""
     feats, at = np.unique(np.concatenate(idx), return_inverse=True)
     row = np.repeat(np.arange(len(idx)), [len(x) for x in idx])
-    anywhere, inside = np.bincount(at).astype(float), np.bincount(at, toxic[row].astype(float))
-    p, q = toxic.mean(), inside / anywhere
+    weight = weight * len(idx) / weight.sum()
+    anywhere, inside = np.bincount(at, weight[row]), np.bincount(at, (weight * toxic)[row])
+    p, q = (weight * toxic).sum() / weight.sum(), inside / anywhere
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = np.where(inside > 0, inside * np.log(q / p), 0) + np.where(q < 1, (anywhere - inside) * np.log((1 - q) / (1 - p)), 0)
     good = (q >= purity) & (gain >= least)
@@ -51,20 +54,22 @@ def telling(idx: list[np.ndarray], toxic: np.ndarray, least: float = 10.0, purit
     return np.split(good[at], cuts)
 
 
-def severity_grades(toxic: np.ndarray, told: list[np.ndarray]) -> np.ndarray:
-    """Grades from 0/1 labels, by the number of telling features."""
-    n = np.array([t.sum() for t in told])
-    return np.where(toxic == 0, 0, np.digitize(n, [2.5, 5.5]) + 1).astype(np.int64)
+def severities(labels: DataFrame) -> DataFrame:
+    """doc_id and grade from the one mark that the labels give."""
+    return labels.where("toxic is not null").select("doc_id", F.when(F.col("toxic") == 0, 0).otherwise(1).alias("grade"))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    rows = gather(sample_rows(docs, labels, "toxic", sample), word_features)
-    toxic = np.array([r[3] for r in rows], np.int64)
-    if len(set(toxic)) < 2:
-        return Model({}, np.full(GRADES - 1, 40.0))
-    idx = [r[1] for r in rows]
-    told = telling(idx, toxic)
-    return fit([(ix[k], r[2][k].astype(np.float64)) for ix, k, r in zip(idx, told, rows)], severity_grades(toxic, told), GRADES, stands_for(labels, "toxic", toxic))
+def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model:
+    """ratings: doc_id and an integer grade from 0 on."""
+    counts = grade_counts(ratings, "grade")
+    rows = gather(sample_rows(docs, ratings, "grade", sample), word_features)
+    grades = np.array([r[3] for r in rows], np.int64)
+    n_grades = max(GRADES, max(counts, default=0) + 1)
+    if len(set((grades > 0).tolist())) < 2:
+        return Model({}, np.full(n_grades - 1, 40.0))
+    idx, weight = [r[1] for r in rows], stands_for(counts, sample, grades)
+    told = telling(idx, (grades > 0).astype(float), weight)
+    return fit([(ix[k], r[2][k].astype(np.float64)) for ix, k, r in zip(idx, told, rows)], grades, n_grades, weight)
 
 
 def scorer(model: Model):
@@ -101,7 +106,7 @@ def score(docs: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
     """The rows of docs that are not rejected."""
-    model = train(docs if fit_on is None else fit_on, labels)
+    model = train(docs if fit_on is None else fit_on, severities(labels))
     return filter_rows(docs, model)
 
 
@@ -123,5 +128,5 @@ def filter_rows(docs: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFr
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+    return score(docs, train(docs, severities(table(spark, sf_dir, "labels"))))
 
