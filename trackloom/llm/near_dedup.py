@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bloom_blocks, bloom_probe, bloom_table, cut, drop, table
+from .common import MOST_BLOCKS, bloom_blocks, bloom_probe, bloom_table, cut, drop, table
 from .graph import components
 
 BANDS, ROWS = 28, 4
@@ -50,6 +50,8 @@ UNIT, WEIGHT = 1024, 200_000
 #: Shingles that one matrix product covers, and pairs whose sketches are compared at once.
 BLOCK = 4096
 PAIRS = 1 << 18
+#: Rows of numbers that may be broadcast: some 10 MB.
+SMALL_ROWS = 1 << 18
 CACHE_WORDS = 300_000
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -158,9 +160,10 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
     return src.mapInPandas(run, "doc_id long, n_shingles long, set_key binary, keys array<long>, sketch array<long>")
 
 
-def _among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is among the ids, which are distinct. A Bloom filter of bounded size keeps most others out of
-    the shuffle; the join is an inner one, as a semi-join would be pushed below the filter."""
+def _maybe_among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is among the distinct ids, and a few others: what a Bloom filter of bounded size lets through,
+    without a shuffle. With more ids than it can tell apart an exact join follows (an inner one, as a semi-join would be
+    pushed below the filter)."""
     n = ids.count()
     if n == 0:
         return rows.limit(0)
@@ -169,12 +172,18 @@ def _among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     block, bits = bloom_probe(F.col(key), blocks)
     some = rows.select("*", block.alias("_block"), bits.alias("_bits")).join(F.broadcast(bloom), "_block")
     some = some.where(F.col("_word").bitwiseAND(F.col("_bits")) == F.col("_bits")).select(*rows.columns)
-    return some.join(ids.select(key), key).select(*rows.columns)
+    return some if n <= 4 * MOST_BLOCKS else some.join(ids.select(key), key).select(*rows.columns)
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """Marked for broadcast if it has at most SMALL_ROWS rows of a few numbers."""
+    return F.broadcast(rows) if rows.count() <= SMALL_ROWS else rows
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Texts of these ids, and a few others."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    return cut(_among(src, ids, "doc_id"), "texts")
+    return cut(_maybe_among(src, ids, "doc_id"), "texts")
 
 
 def _off(same: float, bins: int) -> float:
@@ -197,9 +206,10 @@ def confirm(edges: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
     """Edges (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
     crowds = edges.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CROWD).cast("int").alias("crowds"))
     lot = F.pmod(F.xxhash64("b"), F.col("crowds")).cast("int").alias("lot")
-    ends = edges.join(crowds, "a").select("a", lot, F.col("b").alias("doc_id")).join(texts, "doc_id").select("a", "lot", F.col("doc_id").alias("b"), "text")
-    heads = crowds.select("a", F.explode(F.sequence(F.lit(0), F.col("crowds") - 1)).alias("lot")).join(texts.withColumnRenamed("doc_id", "a"), "a")
-    rows = heads.select("a", "lot", F.lit(None).cast("long").alias("b"), "text").unionByName(ends)
+    ends = edges.join(crowds, "a").select("a", lot, F.col("b"), F.col("b").alias("doc_id"))
+    heads = crowds.select("a", F.explode(F.sequence(F.lit(0), F.col("crowds") - 1)).alias("lot"), F.lit(None).cast("long").alias("b"), F.col("a").alias("doc_id"))
+    need = cut(heads.unionByName(ends), "need")
+    rows = texts.join(_small(need), "doc_id").select("a", "lot", "b", "text")
     rows = rows.repartition("a", "lot").sortWithinPartitions("a", "lot", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -392,12 +402,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     buckets = member.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("size"))
     buckets = cut(buckets.where("lo < hi"), "buckets")
     large = buckets.where("size > 2")
-    crowd = _among(member, large.select("key"), "key").join(large.select("key", "lo", "size"), "key")
+    crowd = _maybe_among(member, large.select("key"), "key").join(large.select("key", "lo", "size"), "key")
     crowd = cut(crowd.distinct(), "members")
     edges = buckets.where("size = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
     edges = edges.unionByName(crowd.where("doc_id <> lo").select(F.col("lo").alias("a"), F.col("doc_id").alias("b")))
     edges = cut(edges.distinct(), "edges")
-    active = _among(reps, edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id")
+    active = _maybe_among(reps, edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id")
     active = cut(active.select("doc_id", "n_shingles", "keys", "sketch"), "active")
     drop(buckets)
 
