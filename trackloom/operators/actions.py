@@ -80,24 +80,30 @@ def repair(text: str) -> object | None:
         return None
 
 
+_LONE = re.compile("[\ud800-\udfff]")
+
+
 class _Bad(ValueError):
     pass
 
 
 def _int(v: object) -> int:
-    if isinstance(v, bool):
-        return int(v)
-    if isinstance(v, int):
-        return v
-    if isinstance(v, float) and v.is_integer():
-        return int(v)
-    if isinstance(v, str) and re.fullmatch(r"\s*[+-]?\d+(\.0*)?\s*", v):
-        return int(v.strip().split(".")[0])
-    raise _Bad
+    """A frame number of 32 bits; anything else does not validate."""
+    n = None
+    if isinstance(v, (bool, int)):
+        n = int(v)
+    elif isinstance(v, float) and v.is_integer():
+        n = int(v)
+    elif isinstance(v, str) and re.fullmatch(r"\s*[+-]?\d{1,20}(\.0*)?\s*", v):
+        n = int(v.strip().split(".")[0])
+    if n is None or not -(1 << 31) <= n < 1 << 31:
+        raise _Bad
+    return n
 
 
 def _str(v: object) -> str | None:
-    if v is None or isinstance(v, str):
+    """Text; half a surrogate pair is none and does not validate."""
+    if v is None or (isinstance(v, str) and not _LONE.search(v)):
         return v
     raise _Bad
 
@@ -163,7 +169,7 @@ def parse(text: str | None, n_frames: int) -> tuple[list[tuple], bool]:
     action over the whole window from whatever fields a pattern finds."""
     body = strip_fence(text or "")
     try:
-        v = json.loads(body, parse_constant=_no_constant)
+        v = json.loads(body)
     except (ValueError, RecursionError):
         v = None
     if v is None:

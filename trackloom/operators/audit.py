@@ -62,7 +62,7 @@ def status(a: DataFrame) -> DataFrame:
         (F.col("yunet_ran") & (F.col("yunet_uncovered") > 0), F.concat(F.col("yunet_uncovered").cast("string"), F.lit(" uncovered faces of the second detector"))),
         (~F.col("integrity_ran"), F.lit("fill integrity was not checked")),
         (F.col("max_fill_area_frac") > MAX_FILL_AREA, F.lit("a frame is filled beyond the area limit")),
-        (none & (F.col("n_frames") > 0), F.when(F.col("yunet_ran"), F.lit("no face was filled; the second detector ran")).otherwise(F.lit("no face was filled and no second detector ran"))),
+        (none & (F.col("n_frames") > 0), F.when(F.col("yunet_ran") & (F.col("yunet_uncovered") == 0), F.lit("no face was filled, and the second detector found none")).otherwise(F.lit("no face was filled, and nothing corroborates that"))),
         (F.col("integrity_ran") & (F.col("checked") == 0) & (F.col("frames_with_fill") > 0), F.lit("fills exist but none was checked")),
         (F.col("dropped_small") > 0, F.concat(F.col("dropped_small").cast("string"), F.lit(" detections dropped as too small"))),
     ]

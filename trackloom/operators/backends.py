@@ -9,6 +9,7 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 @dataclass(frozen=True)
@@ -71,27 +72,75 @@ def call(windows: DataFrame, make: Callable[[], Backend]) -> DataFrame:
     return windows.mapInPandas(run, RESULT)
 
 
-def in_waves(windows: DataFrame, make: Callable[[], Backend], sink: Callable[[DataFrame], DataFrame], wave: int, cap_usd: float | None, prices: tuple[float, float]) -> float:
+def in_waves(windows: DataFrame, make: Callable[[], Backend], sink: Callable[[DataFrame], object], wave: int, cap_usd: float | None, prices: tuple[float, float]) -> float:
     """Runs windows wave by wave; after each one the rows go to the sink, and a spend at or over the cap, or a fatal
     error, stops the run. A wave bounds the overrun. Gives the spend."""
     if cap_usd is not None and prices == (0.0, 0.0):
         raise ValueError("a cap needs prices")
     spent, k = 0.0, 0
-    todo = windows.withColumn("_wave", F.floor(F.row_number().over(_order()) / F.lit(wave) - F.lit(1e-9)).cast("int"))
+    todo = ranked(windows, wave)
     top = todo.agg(F.max("_wave")).first()[0]
     while top is not None and k <= top:
         if cap_usd is not None and spent >= cap_usd:
             raise SpendLimit(f"{spent:.4f} of {cap_usd:.4f} USD")
-        rows = sink(call(todo.where(F.col("_wave") == k).drop("_wave"), make))
-        s = rows.agg(F.sum((F.col("tokens_in") * prices[0] + F.col("tokens_out") * prices[1]) / 1e6), F.max(F.when(F.col("fatal"), F.col("error")))).first()
+        # Checkpointed before anything reads it, so no call is made twice.
+        rows = call(todo.where(F.col("_wave") == k).drop("_wave"), make).checkpoint()
+        sink(rows)
+        usd = (F.col("tokens_in") * prices[0] + F.col("tokens_out") * prices[1]) / 1e6
+        unknown = F.count_if(F.col("error").isNull() & usd.isNull())
+        s = rows.agg(F.sum(usd), F.max(F.when(F.col("fatal"), F.col("error"))), unknown).first()
         spent += s[0] or 0.0
         if s[1]:
             raise Permanent(s[1])
+        if cap_usd is not None and s[2]:
+            raise Permanent(f"{s[2]} answers without usage under a spend cap")
         k += 1
     return spent
 
 
-def _order():
-    from pyspark.sql.window import Window
-
-    return Window.orderBy("video_id", "window_idx")
+def ranked(windows: DataFrame, wave: int) -> DataFrame:
+    """windows with _wave, the number of their wave in order of video and window. Ranges are counted, then numbered each
+    for itself; only the counts of the ranges meet on the driver."""
+    d = windows.repartitionByRange("video_id", "window_idx").withColumn("_range", F.spark_partition_id()).checkpoint()
+    before, at = {}, 0
+    for r in d.groupBy("_range").count().orderBy("_range").collect():
+        before[r[0]], at = at, at + r[1]
+    base = F.create_map(*[F.lit(x) for kv in before.items() for x in kv]) if before else F.create_map(F.lit(0), F.lit(0))
+    w = Window.partitionBy("_range").orderBy("video_id", "window_idx")
+    place = F.row_number().over(w) - 1 + base[F.col("_range")]
+    return d.withColumn("_wave", F.floor(place / wave).cast("int")).drop("_range")
+
+
+#: Answers of a server that a retry cannot change.
+FINAL_STATUS = (400, 401, 402, 403, 404, 422)
+
+
+class StatusError(RuntimeError):
+    def __init__(self, status: int, message: str = "") -> None:
+        super().__init__(f"status {status} {message}".strip())
+        self.status = status
+
+
+class Retrying:
+    """A backend that asks again, twice at most, after 1 and 2 seconds; final answers of the server are permanent."""
+
+    def __init__(self, inner: Backend, attempts: int = 3, sleep: Callable[[float], None] | None = None) -> None:
+        import time
+
+        self.inner, self.attempts, self.sleep = inner, attempts, sleep or time.sleep
+
+    def caption(self, images: list[bytes], prompt: str):
+        for n in range(self.attempts):
+            try:
+                return self.inner.caption(images, prompt)
+            except (SpendLimit, Permanent):
+                raise
+            except StatusError as e:
+                if e.status in FINAL_STATUS:
+                    raise Permanent(str(e)) from e
+                if n + 1 == self.attempts:
+                    raise
+            except Exception:
+                if n + 1 == self.attempts:
+                    raise
+            self.sleep(2.0**n)

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 FILL, MAX_DEV, MAX_STD, ERODE_LUMA, ERODE_CHROMA = 128, 3, 2, 2, 3
 
@@ -37,12 +38,14 @@ def flat(plane: np.ndarray) -> bool:
 
 
 def integrity(raw: bytes, width: int, height: int, boxes: list[tuple]) -> tuple[int, int, int, int]:
-    """(checked, violations, unverifiable, chroma_unverifiable) of a frame's fill boxes, edges eroded."""
+    """(checked, violations, unverifiable, chroma_unverifiable) of a frame's fill boxes, edges eroded. A box too small to
+    erode is checked as it is; only an empty one is unverifiable."""
     y, u, v = planes(raw, width, height)
     checked = bad = small = small_chroma = 0
     for x1, y1, x2, y2 in boxes:
         a, b, c, d = max(0, int(x1)), max(0, int(y1)), min(width, int(x2)), min(height, int(y2))
-        luma = y[b + ERODE_LUMA : d - ERODE_LUMA, a + ERODE_LUMA : c - ERODE_LUMA] if min(c - a, d - b) > 2 * ERODE_LUMA else y[:0]
+        e = ERODE_LUMA if min(c - a, d - b) > 2 * ERODE_LUMA else 0
+        luma = y[b + e : d - e, a + e : c - e] if c > a and d > b else y[:0]
         if luma.size == 0:
             small += 1
             continue
@@ -57,6 +60,15 @@ def integrity(raw: bytes, width: int, height: int, boxes: list[tuple]) -> tuple[
     return checked, bad, small, small_chroma
 
 
+def whole_clips(frames: DataFrame, clips: DataFrame) -> DataFrame:
+    """clip_id and frames_seen of every clip; one of which not all n_frames frames were decoded is an error, so that a
+    short decode never reads as a clean one."""
+    seen = F.coalesce("seen", F.lit(0)).cast("long")
+    short = F.raise_error(F.concat(F.lit("frames decoded of clip "), F.col("clip_id").cast("string"), F.lit(": "), seen.cast("string"), F.lit(" of "), F.col("n_frames").cast("string")))
+    got = clips.join(frames.groupBy("clip_id").agg(F.countDistinct("frame_idx").alias("seen")), "clip_id", "left")
+    return got.select("clip_id", F.when(seen == F.col("n_frames"), seen).otherwise(short.cast("long")).alias("frames_seen"))
+
+
 def redact(frames: DataFrame) -> DataFrame:
     """frames: clip_id, frame_idx, width, height, raw, boxes (array of structs). The same with raw filled."""
 

@@ -126,6 +126,25 @@ def densify(tracks: DataFrame, rules: TrackRules) -> DataFrame:
     return t.select("clip_id", "track_id", "cls", "frame_idx", *names, "source").unionByName(mid).unionByName(held)
 
 
+def floor(dets: DataFrame, sweep: float, classes: tuple[str, ...] = ("face", "lp")) -> DataFrame:
+    """What a detector hands on: scores above the sweep threshold, of the classes asked for."""
+    return dets.where((F.col("score") > sweep) & F.col("cls").isin(*classes))
+
+
+def hysteresis(rules: TrackRules, keep: float | None) -> TrackRules:
+    """Rules with or without hysteresis: a continue threshold of 0 or none means none, and tracking then sees only
+    detections above the operating thresholds."""
+    from dataclasses import replace
+
+    return replace(rules, keep=keep or None)
+
+
+def low_frames(tracks: DataFrame) -> DataFrame:
+    """Per clip the frames, in order, of detections that only continued a track, and how many those detections are."""
+    low = tracks.where("source = 'det_low'").groupBy("clip_id")
+    return low.agg(F.array_sort(F.collect_set("frame_idx")).alias("det_low_frames"), F.count(F.lit(1)).alias("n_low_absorbed"))
+
+
 def fill_boxes(dense: DataFrame, width: int, height: int) -> DataFrame:
     """Every track box of every frame, dilated and clipped."""
     return geom.dilate(dense.withColumns({"width": F.lit(width), "height": F.lit(height)})).drop("width", "height")

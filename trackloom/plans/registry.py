@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import actions, annolog, audit, geom, hands, review, runs, tracks
+from ..sources import documents
 from . import projections as P
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,7 +109,7 @@ def k9_agreement(spark, sf):
     return annolog.agreement(P.annotation_log(spark, sf), "model-a", "model-b")
 
 
-@query("c11_iou", _DETS + """, q as (select a.clip_id, a.det_seq, b.det_seq as other, least(a.x2,b.x2)-greatest(a.x1,b.x1) as w, least(a.y2,b.y2)-greatest(a.y1,b.y1) as h, (a.x2-a.x1)*(a.y2-a.y1)+(b.x2-b.x1)*(b.y2-b.y1) as s from p a join p b on a.clip_id=b.clip_id and a.frame_idx=b.frame_idx and a.det_seq<b.det_seq)
+@query("c11_iou", _DETS.replace("with p as", "with p as materialized") + """, q as (select a.clip_id, a.det_seq, b.det_seq as other, least(a.x2,b.x2)-greatest(a.x1,b.x1) as w, least(a.y2,b.y2)-greatest(a.y1,b.y1) as h, (a.x2-a.x1)*(a.y2-a.y1)+(b.x2-b.x1)*(b.y2-b.y1) as s from p a join p b on a.clip_id=b.clip_id and a.frame_idx=b.frame_idx and a.det_seq<b.det_seq)
 select clip_id, det_seq, other, round(case when w<=0 or h<=0 then 0e0 else w*h/(s-w*h) end, 9) as iou from q""")
 def c11_iou(spark, sf):
     d = P.detections(spark, sf).select("clip_id", "frame_idx", "det_seq", geom.box("x1", "y1", "x2", "y2").alias("b"))
@@ -146,8 +147,8 @@ def f4_operating(spark, sf):
     return tracks.operating(P.detections(spark, sf), RULES).select("clip_id", "det_seq", "cls", "score")
 
 
-@query("b1_at_threshold", _DETS + " select cls, count(*) as n from p where score = " + _OP + " group by 1")
-def b1_at_threshold(spark, sf):
+@query("f4_at_threshold", _DETS + " select cls, count(*) as n from p where score = " + _OP + " group by 1")
+def f4_at_threshold(spark, sf):
     """Rows exactly at their threshold: neither operating nor in the sweep band, so they are counted."""
     return P.detections(spark, sf).where(F.col("score") == audit.threshold(RULES.start)).groupBy("cls").agg(F.count(F.lit(1)).alias("n"))
 
@@ -228,7 +229,7 @@ def audit_inputs(spark, sf):
 
 _AUDIT = ORACLES["g4_fill_stats"].replace("select n.clip_id, n_frames", ", st as (select n.clip_id, n_frames") + """), mi as (select clip_id, count(*) as sm from j where covered < 98e-2 group by 1),
 i as (select st.*, case when st.clip_id%4=0 then 0 else coalesce(sm,0) end as sweep_misses, case when st.clip_id%4=0 then 4e-1 else max_fill_area_frac end as mf, st.clip_id%7<>0 as ran, case when st.clip_id%11=0 then st.clip_id%5 else 0 end as v, st.clip_id%3<>0 as yr, case when st.clip_id%13=0 then 2 else 0 end as yu, case when st.clip_id%17=0 then 1 else 0 end as ds from st left join mi on st.clip_id=mi.clip_id),
-au as (select clip_id, list_filter([case when ran and v>0 then v||' fill integrity violations' end, case when sweep_misses>0 then sweep_misses||' uncovered weak detections' end, case when yr and yu>0 then yu||' uncovered faces of the second detector' end, case when not ran then 'fill integrity was not checked' end, case when mf>5e-1 then 'a frame is filled beyond the area limit' end, case when face_frames=0 and n_frames>0 then case when yr then 'no face was filled; the second detector ran' else 'no face was filled and no second detector ran' end end, case when ran and frames_with_fill=0 and frames_with_fill>0 then 'fills exist but none was checked' end, case when ds>0 then ds||' detections dropped as too small' end], lambda x: x is not null) as rs, yr from i),
+au as (select clip_id, list_filter([case when ran and v>0 then v||' fill integrity violations' end, case when sweep_misses>0 then sweep_misses||' uncovered weak detections' end, case when yr and yu>0 then yu||' uncovered faces of the second detector' end, case when not ran then 'fill integrity was not checked' end, case when mf>5e-1 then 'a frame is filled beyond the area limit' end, case when face_frames=0 and n_frames>0 then case when yr and yu=0 then 'no face was filled, and the second detector found none' else 'no face was filled, and nothing corroborates that' end end, case when ran and frames_with_fill=0 and frames_with_fill>0 then 'fills exist but none was checked' end, case when ds>0 then ds||' detections dropped as too small' end], lambda x: x is not null) as rs, yr from i),
 o as (select clip_id, array_to_string(rs, '; ') as reasons, case when len(rs)>0 then 'NEEDS_REVIEW' when yr then 'PASS_AUTOMATED' else 'PASS_AUTOMATED_NO_YUNET' end as status from au)"""
 _AUDIT = _AUDIT.replace(", n as (", ", c as (select * from p where score >= 10e-2 and score < " + _OP + ")," + _COVER + ", n as (", 1)
 
@@ -279,6 +280,30 @@ def t6_probe_frames(spark, sf):
     return audit.probe_frames(clips(spark, sf), 40)
 
 
+@query("f3_floor", _DETS + " select clip_id, frame_idx, det_seq, cls, score from p where score > 10e-2 and cls = 'face'")
+def f3_floor(spark, sf):
+    return tracks.floor(P.detections(spark, sf), 0.1, ("face",)).select("clip_id", "frame_idx", "det_seq", "cls", "score")
+
+
+@query("g7_low_frames")
+def g7_low_frames(spark, sf):
+    return tracks.low_frames(tracks.build_tracks(P.detections(spark, sf), tracks.hysteresis(RULES, 0.15)))
+
+
+@query("u1_forced")
+def u1_forced(spark, sf):
+    d = P.detections(spark, sf).where("cls = 'face' and score >= 0.1 and score < 0.2").select("clip_id", "frame_idx", "x1", "y1", "x2", "y2")
+    f = documents.forced_fills(d, clips(spark, sf), RULES, WIDTH, HEIGHT)
+    return f.select("clip_id", "track_id", "frame_idx", "source", *[F.round(c, 6).alias(c) for c in ("x1", "y1", "x2", "y2")])
+
+
+@query("b7_manifest", _AUDIT + ", k as (select status, count(*) as n from o group by 1) select string_agg(status || '=' || n, ',' order by status) as clips_by_status, '' as failed_ids from k")
+def b7_manifest(spark, sf):
+    m = documents.run_manifest(audit.status(audit_inputs(spark, sf)))
+    text = F.transform(F.map_entries("clips_by_status"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return m.select(F.array_join(text, ",").alias("clips_by_status"), F.array_join(F.col("failed_ids").cast("array<string>"), ",").alias("failed_ids"))
+
+
 @query("w3_hands")
 def w3_hands(spark, sf):
     return hands.assign(P.hand_detections(spark, sf))
@@ -302,12 +327,12 @@ def w9_boundaries(spark, sf):
 
 
 @query("j_scalars", r"""select doc_id, nullif(substring(regexp_replace(text, '^\s+|\s+$', '', 'g'), 1, 60), '') as clamped,
- (with s(x) as (select substring(trim(regexp_replace(lower(substring(text, 1, 40)), '[^a-z0-9]+', '_', 'g'), '_'), 1, 24)) select case when regexp_full_match(x, '[a-z][a-z0-9_]{0,23}') then x end from s) as slug,
+ (with s(x) as (select substring(trim(regexp_replace(lower(text), '[^a-z0-9]+', '_', 'g'), '_'), 1, 24)) select case when regexp_full_match(x, '[a-z][a-z0-9_]{0,23}') then x end from s) as slug,
  'sha256:' || substring(sha256(text), 1, 16) as prompt_hash, case when doc_id % 4 = 0 then 'grip' when doc_id % 4 = 1 then 'none' end as contact from documents""")
 def j_scalars(spark, sf):
     d = spark.read.parquet(f"{sf}/documents.parquet")
     contact = F.element_at(F.array(F.lit(" GRIP "), F.lit("None"), F.lit("hover"), F.lit("")), (F.col("doc_id") % 4 + 1).cast("int"))
-    return d.select("doc_id", S.clamp_text(F.col("text"), 60).alias("clamped"), S.slug(F.substring("text", 1, 40)).alias("slug"), S.prompt_hash(F.col("text")).alias("prompt_hash"), S.vocab(contact, S.CONTACTS).alias("contact"))
+    return d.select("doc_id", S.clamp_text(F.col("text"), 60).alias("clamped"), S.slug(F.col("text")).alias("slug"), S.prompt_hash(F.col("text")).alias("prompt_hash"), S.vocab(contact, S.CONTACTS).alias("contact"))
 
 
 @query("c_clock", _FRAMES + ", w as (select video_id, frame_idx // 8 as window_idx, count(*) as n, min(frame_idx) as a from p group by 1, 2) select video_id, window_idx, 'n=' || n || ' max=' || (n-1) || ' s=' || case n when 8 then '6' else regexp_replace(printf('%.2f', n*75e-2), '\\.?0+$', '') end as prompt, array_to_string(list_transform(range(0, n), lambda i: 'Frame ' || i), ',') as labels, printf('%02d:%05.2f', cast(floor(a/30e0/60) as int), a/30e0 - 60*floor(a/30e0/60)) as clock from w")

@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 CONTRACT_VERSION = 1
-MODEL_KEYS = {"backend", "model", "base_url", "api_key_env", "price_in_per_mtok", "price_out_per_mtok", "max_images", "spend_cap_usd", "fixture"}
+# Fixed values of the model registry.
+MODEL_KEYS = {
+    "backend", "base_url", "image_detail", "max_images", "model", "price_in_per_mtok", "price_out_per_mtok", "provider_order",
+    "supports_json_schema", "tokens_per_image_fn",
+}
 REQUIRED_KEYS = {"backend"}
+HTTP_BACKEND = "openai-compat"
+#: Settings applied to stored detections afterwards; all others belong to a detection pass.
+AFTERWARDS = {"face_threshold", "lp_threshold", "continue_threshold"}
 
 
 def write_shard(rows: DataFrame, root: str, run_id: str, pod_role: str, stage: str, shard_index: int) -> None:
@@ -27,10 +34,10 @@ def read_shard(spark: SparkSession, root: str, shard_index: int) -> DataFrame:
 
 
 def fingerprint(config: dict) -> str:
-    """Identity of the settings a detection pass depends on; thresholds apply afterwards and are left out."""
+    """Identity of the settings a detection pass depends on; thresholds that apply afterwards are left out, the sweep's is not."""
     import hashlib
 
-    kept = {k: v for k, v in sorted(config.items()) if not k.endswith("_threshold")}
+    kept = {k: v for k, v in sorted(config.items()) if k not in AFTERWARDS}
     return hashlib.sha256(json.dumps(kept, sort_keys=True, default=str).encode()).hexdigest()
 
 
@@ -58,6 +65,24 @@ def forced_boxes(forced: DataFrame, clips: DataFrame) -> DataFrame:
     return j.where("x2 > x1 and y2 > y1")
 
 
+def forced_fills(forced: DataFrame, clips: DataFrame, rules, width: int, height: int) -> DataFrame:
+    """Fill boxes of a reviewer's boxes: they become tracks like detections of full score, however small, so the frames
+    between and around the listed ones are filled too. A listed clip of which no box is left is an error."""
+    from dataclasses import replace
+
+    from ..operators import tracks
+
+    usable = forced_boxes(forced, clips)
+    left = forced.select("clip_id").distinct().join(clips.select("clip_id"), "clip_id").join(usable.groupBy("clip_id").agg(F.count(F.lit(1)).alias("n")), "clip_id", "left")
+    lost = left.where("n is null").select("clip_id").take(5)
+    if lost:
+        raise ValueError(f"no forced box is left of {[r[0] for r in lost]}")
+    seq = F.row_number().over(Window.partitionBy("clip_id").orderBy("frame_idx", "x1", "y1", "x2", "y2"))
+    dets = usable.withColumns({"cls": F.lit("face"), "score": F.lit(1.0), "det_seq": seq.cast("long")})
+    rules = replace(rules, min_box=0, keep=None)
+    return tracks.fill_boxes(tracks.densify(tracks.build_tracks(dets, rules), rules), width, height)
+
+
 def manifests(spark: SparkSession, target: str) -> DataFrame:
     """One manifest, or all *.manifest.json of a folder by name."""
     r = spark.read.option("multiLine", True)
@@ -93,6 +118,47 @@ def load_registry(path: str) -> dict[str, dict]:
     for name, entry in doc.get("models", {}).items():
         if extra := set(entry) - MODEL_KEYS:
             raise ValueError(f"{name}: unknown keys {sorted(extra)}")
-        if lack := REQUIRED_KEYS - set(entry):
+        need = REQUIRED_KEYS | ({"model"} if entry.get("backend") == HTTP_BACKEND else set())
+        if lack := need - set(entry):
             raise ValueError(f"{name}: missing keys {sorted(lack)}")
     return doc.get("models", {})
+
+
+def model_entry(path: str, name: str) -> dict:
+    """One model's entry; an HTTP model without an address takes the backend's default one, and without either is an
+    error, as is an unknown name."""
+    models = load_registry(path)
+    if name not in models:
+        raise KeyError(f"{name} is not in the registry; it has {sorted(models)}")
+    entry = dict(models[name])
+    if entry["backend"] == HTTP_BACKEND and not entry.get("base_url"):
+        with open(path, "rb") as f:
+            entry["base_url"] = tomllib.load(f).get("backend", {}).get(HTTP_BACKEND, {}).get("base_url")
+        if not entry["base_url"]:
+            raise ValueError(f"{name}: no base_url, and the backend has no default one")
+    return entry
+
+
+def load_prompt(path: str) -> tuple[str, str]:
+    """A prompt template and its hash; an empty one is an error."""
+    import hashlib
+
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    if not text.strip():
+        raise ValueError(f"{path} is empty")
+    return text, "sha256:" + hashlib.sha256(text.encode()).hexdigest()[:16]
+
+
+def run_manifest(audit: DataFrame) -> DataFrame:
+    """One row: how many clips have each status, and the ids of failed ones in order."""
+    by = F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "n"))))
+    n = audit.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.when(F.col("status") == "FAILED", F.col("clip_id")))).alias("failed"))
+    return n.agg(by.alias("clips_by_status"), F.array_sort(F.flatten(F.collect_list("failed"))).alias("failed_ids"))
+
+
+def clips_to_do(clips: DataFrame, manifests: DataFrame, config_hash: str) -> DataFrame:
+    """Clips without a whole manifest of this configuration. manifests: clip_id, config_hash; a torn one has null there
+    and does not count."""
+    done = manifests.where(F.col("config_hash") == config_hash).select("clip_id").distinct()
+    return clips.join(done, "clip_id", "left_anti")
