@@ -62,6 +62,29 @@ def sweep(since: int, *keep: DataFrame) -> None:
     drop(*[t for t in _OPEN[since:] if not any(t is k for k in keep)])
 
 
+#: What a Python worker remembers from task to task, by the operator that fills it.
+_REMEMBERED: dict[str, list[dict]] = {}
+
+
+def remember(operator: str) -> dict:
+    """A store that outlives tasks; see forget_others."""
+    store: dict = {}
+    _REMEMBERED.setdefault(operator, []).append(store)
+    return store
+
+
+def forget_others(operator: str) -> None:
+    """Empties the stores of all other operators, and gives Arrow's unused memory back. Workers outlive the stages of a
+    pipeline; called as a task begins, this keeps a worker's memory that of one operator instead of the sum of all."""
+    import pyarrow as pa
+
+    found = [store for name, stores in _REMEMBERED.items() if name != operator for store in stores if store]
+    for store in found:
+        store.clear()
+    if found:
+        pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

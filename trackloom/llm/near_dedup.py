@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MOST_BLOCKS, bloom_blocks, bloom_probe, bloom_table, cut, drop, table
+from .common import MOST_BLOCKS, bloom_blocks, bloom_probe, bloom_table, cut, drop, forget_others, remember, table
 from .graph import components
 
 BANDS, ROWS = 28, 4
@@ -56,7 +56,7 @@ CACHE_WORDS = 300_000
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
-_HASHES: dict[str, int] = {}
+_HASHES: dict[str, int] = remember("near_dedup")
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _NIBBLES = 0x1111111111111111
 
@@ -142,6 +142,7 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
+        forget_others("near_dedup")
         signer = Signer(bands, rows)
         for pdf in batches:
             out = []
@@ -213,6 +214,7 @@ def confirm(edges: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
     rows = rows.repartition("a", "lot").sortWithinPartitions("a", "lot", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_others("near_dedup")
         at: tuple[int, int] | None = None
         heads: list[np.ndarray] = []
         for pdf in batches:
@@ -311,6 +313,7 @@ def _group_pairs(pdf: pd.DataFrame, percent: int, bins: int) -> pd.DataFrame:
 
 def _group_links(pdf: pd.DataFrame, shingle: int, percent: int) -> pd.DataFrame:
     """Links between the components of a group, as few as join what belongs together."""
+    forget_others("near_dedup")
     sets = [shingles_of(t, shingle) for t in pdf["text"]]
     doc, comp = pdf["doc_id"].to_numpy(), pdf["comp"].to_numpy()
     place: dict[int, list[int]] = {}

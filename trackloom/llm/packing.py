@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, partitions, table
+from .common import cut, forget_others, partitions, remember, table
 
 CAPACITY = 2048
 END_ID = 0
@@ -42,10 +42,10 @@ LONGEST_CACHED = 48
 #: Rows of one length that a task ranks at most, about; the salt follows the number of rows.
 ROWS_PER_SLICE = 200_000
 
-_WORDS: dict[str, dict[str, bytes]] = {}
-_TOKENIZERS: dict[str, object] = {}
+_WORDS: dict[str, dict[str, bytes]] = remember("packing")
+_TOKENIZERS: dict[str, object] = remember("packing")
 #: Ids of the parts of words; None for a tokenizer that splits words in another way.
-_PIECES: dict[str, dict[str, bytes] | None] = {}
+_PIECES: dict[str, dict[str, bytes] | None] = remember("packing")
 
 
 def _tokenizer(path: str):
@@ -107,7 +107,7 @@ def _encode_words(path: str, words: list[str]) -> dict[str, bytes]:
 
         for w in words:
             if _SIMPLE(w) and "<|" not in w:
-                low = w.lower()
+                low = w if w.islower() else w.lower()  # one string for both stores
                 if low.isalpha():
                     out[w] = known.get(low) or ids_of(low)
                 else:
@@ -150,6 +150,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_others("packing")
         for pdf in batches:
             rows = []
             for doc, raw in zip(pdf["doc_id"], token_bytes(tokenizer_path, ["" if t is None else t for t in pdf["text"]])):

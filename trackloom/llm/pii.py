@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import forget_others, table
 
 #: Session setting that holds the key; a session without one draws a random key and keeps it.
 KEY_CONF = "trackloom.pii.key"
@@ -276,6 +276,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", count_col:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        forget_others("pii")
         cache: dict[tuple[str, str], str | None] = {}
 
         def rewrite(t: str) -> tuple[str, int]:

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import forget_others, table
 from .ordinal import _LETTERS, CACHE_WORDS, Model, bucket, fit, gather, grade_counts, sample_rows, stands_for, word_parts
 
 #: Labelled rows of each kind in the fit, at most.
@@ -93,6 +93,7 @@ def score(docs: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFrame:
     severity = scorer(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_others("toxicity")
         for pdf in batches:
             s = np.empty(len(pdf))
             for i, t in enumerate(pdf["text"]):
@@ -117,6 +118,7 @@ def filter_rows(docs: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFr
     def run(batches):
         import pyarrow as pa
 
+        forget_others("toxicity")
         for b in batches:
             keep = []
             for t in b.column(names.index("text")).to_pylist():
