@@ -548,6 +548,18 @@ def test_sample_counts_documents_once(spark):
         ordinal.grade_counts(spark.range(100).selectExpr("id as doc_id", "cast(id as int) as grade"), "grade")
 
 
+def test_sample_is_that_of_the_lowest_hashes(spark):
+    """The bound on the hash changes no row: the sample equals the first rows of a sort over all."""
+    from trackloom.llm import ordinal
+
+    docs = spark.range(20_000).selectExpr("id as doc_id", "'a' as text")
+    ratings = docs.selectExpr("doc_id", "int(doc_id % 10 = 0) as grade")
+    got = {(r.grade, r.doc_id) for r in ordinal.sample_rows(docs, ratings, "grade", 300).collect()}
+    order = ratings.orderBy(F.xxhash64("doc_id")).collect()
+    assert got == {(g, r.doc_id) for g in (0, 1) for r in [r for r in order if r.grade == g][:300]}
+    assert ordinal.highest_hash(5, 300) == 2**63 - 1 and ordinal.highest_hash(10**9, 300) < -(2**63) + 2**45
+
+
 def test_toxicity_of_graded_ratings(spark, empty):
     """Four grades with words of their own: expected severity follows the grade on held-out rows, with nulls, empty
     texts, repeated rows, labels without documents and no labels."""

@@ -82,7 +82,7 @@ def grades_of(labels: DataFrame) -> DataFrame:
 def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model:
     """ratings: doc_id and an integer grade from 0 on."""
     counts = grade_counts(ratings, "grade")
-    rows = gather(sample_rows(docs, ratings, "grade", sample), text_features)
+    rows = gather(sample_rows(docs, ratings, "grade", sample, counts), text_features)
     grades = np.array([r[3] for r in rows], np.int64)
     if len(set(grades.tolist())) < 2:
         return Model({}, np.full(GRADES - 1, -40.0))

@@ -62,7 +62,7 @@ def severities(labels: DataFrame) -> DataFrame:
 def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model:
     """ratings: doc_id and an integer grade from 0 on."""
     counts = grade_counts(ratings, "grade")
-    rows = gather(sample_rows(docs, ratings, "grade", sample), word_features)
+    rows = gather(sample_rows(docs, ratings, "grade", sample, counts), word_features)
     grades = np.array([r[3] for r in rows], np.int64)
     n_grades = max(GRADES, max(counts, default=0) + 1)
     if len(set((grades > 0).tolist())) < 2:
