@@ -179,3 +179,97 @@ def test_queries_without_sql_run(spark):
     assert e.queries()["u1_forced"](spark, SF).count() > 0
     g = e.queries()["g7_low_frames"](spark, SF).collect()
     assert all(r.det_low_frames == sorted(set(r.det_low_frames)) and r.n_low_absorbed >= len(r.det_low_frames) for r in g)
+
+
+def test_http_backend(spark, monkeypatch):
+    """A server on this machine: frames, prompt, key and usage arrive; a final status is fatal, others are asked again."""
+    import base64
+    import json
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    seen, codes = [], []
+
+    class Server(BaseHTTPRequestHandler):
+        def do_POST(self):
+            seen.append((self.path, self.headers["Authorization"], json.loads(self.rfile.read(int(self.headers["Content-Length"])))))
+            code = codes.pop(0) if codes else 200
+            self.send_response(code)
+            self.end_headers()
+            if code == 200:
+                self.wfile.write(json.dumps({"choices": [{"message": {"content": "fine"}}], "usage": {"prompt_tokens": 7, "completion_tokens": 2}}).encode())
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    entry = {"backend": "openai-compat", "model": "m", "base_url": f"http://127.0.0.1:{server.server_port}/v1", "image_detail": "low"}
+    d = spark.createDataFrame([(1, 0, 2, "what?", [b"ab", b"c"])], "video_id long, window_idx long, n_frames int, prompt string, frames array<binary>")
+    row = backends.call(d, backends.backend(entry, "NO_SUCH_KEY")).first()
+    assert (row.response_text, row.tokens_in, row.tokens_out, row.error) == ("fine", 7, 2, None)
+    content = seen[0][2]["messages"][0]["content"]
+    assert seen[0][0] == "/v1/chat/completions" and content[0]["text"] == "what?" and content[1]["image_url"]["detail"] == "low"
+    assert base64.b64decode(content[1]["image_url"]["url"].split(",")[1]) == b"ab" and len(content) == 3
+    monkeypatch.setenv("A_KEY", "k")
+    codes[:] = [500, 429]
+    slept = []
+    asking = backends.Retrying(backends.Http(entry, "A_KEY"), sleep=slept.append)
+    assert asking.caption([b"x"], "p").text == "fine" and slept == [1.0, 2.0] and seen[-1][1] == "Bearer k"
+    codes[:] = [401]
+    with pytest.raises(backends.Permanent):
+        asking.caption([b"x"], "p")
+    with pytest.raises(backends.Permanent):
+        backends.Http(entry | {"base_url": "https://example.invalid"}, "NO_SUCH_KEY").caption([], "p")
+    server.shutdown()
+    for bad in ({"base_url": "http://example.com"}, {"max_images": 4}, {"model": "<model>"}, {"backend": "other"}, {"backend": "fake"}):
+        with pytest.raises(ValueError):
+            backends.backend(entry | bad, "A_KEY")
+
+
+def test_hands_like_a_plain_loop(spark):
+    """Slots and ids of every frame of the small tables, against a loop over a video's frames."""
+    from trackloom.operators import hands
+    from trackloom.plans import projections as P
+
+    d = P.hand_detections(spark, SF)
+    frames = {}
+    for r in d.collect():
+        frames.setdefault((r.video_id, r.frame_idx), []).extend([(r.det_seq, float(r.x), float(r.y), r.label)] if r.det_seq < r.n_det else [])
+    dist = lambda p, q: ((p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2) ** 0.5
+    want, video = {}, None
+    for (v, f), found in sorted(frames.items()):
+        if v != video:
+            video, pl, pr, lt, rt, new = v, None, None, None, None, 0
+        h = [((x, y), label) for _, x, y, label in sorted(found)]
+        left = right = None
+        if len(h) == 1:
+            p = h[0][0]
+            if pl and pr:
+                is_left = dist(pl, p) <= dist(pr, p)
+            elif pl or pr:
+                is_left = dist(pl, p) <= hands.MAX_DELTA if pl else dist(pr, p) > hands.MAX_DELTA
+            else:
+                is_left = h[0][1] == "Left"
+            left, right = (p, None) if is_left else (None, p)
+        elif h:
+            (a, la), (b, lb) = h[:2]
+            cost = lambda x, y: (dist(pl, x) if pl else 0.0) + (dist(pr, y) if pr else 0.0)
+            if pl or pr:
+                straight = cost(a, b) <= cost(b, a)
+            elif (la == "Left") != (lb == "Left"):
+                straight = la == "Left"
+            else:
+                straight = a[0] <= b[0]
+            left, right = (a, b) if straight else (b, a)
+        keep_l = lt if left and not (len(h) > 1 and pl and dist(pl, left) > hands.MAX_DELTA) else None
+        keep_r = rt if right and not (len(h) > 1 and pr and dist(pr, right) > hands.MAX_DELTA) else None
+        lt = rt = None
+        if left:
+            lt, new = (keep_l, new) if keep_l is not None else (new, new + 1)
+        if right:
+            rt, new = (keep_r, new) if keep_r is not None else (new, new + 1)
+        pl, pr = left, right
+        want[v, f] = (left and left[0], right and right[0], lt, rt)
+    got = {(r.video_id, r.frame_idx): (r.left_x, r.right_x, r.left_track_id, r.right_track_id) for r in hands.assign(d).collect()}
+    assert got == want and len(got) > 100

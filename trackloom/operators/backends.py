@@ -53,7 +53,8 @@ RESULT = "video_id long, window_idx long, response_text string, tokens_in long,
 
 
 def call(windows: DataFrame, make: Callable[[], Backend]) -> DataFrame:
-    """windows: video_id, window_idx, n_frames, prompt. A failed call is an error row; a fatal one is marked."""
+    """windows: video_id, window_idx, n_frames, prompt, and frames (array of binary images) where the backend looks at
+    them. A failed call is an error row; a fatal one is marked."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         backend = make()
@@ -61,7 +62,8 @@ def call(windows: DataFrame, make: Callable[[], Backend]) -> DataFrame:
             rows = []
             for r in pdf.itertuples():
                 try:
-                    x = backend.caption([b""] * int(r.n_frames), r.prompt)
+                    shown = getattr(r, "frames", None)
+                    x = backend.caption([b""] * int(r.n_frames) if shown is None else [bytes(i) for i in shown], r.prompt)
                     rows.append((r.video_id, r.window_idx, x.text, x.tokens_in, x.tokens_out, None, False))
                 except (SpendLimit, Permanent) as e:
                     rows.append((r.video_id, r.window_idx, None, None, None, f"{type(e).__name__}: {e}", True))
@@ -144,3 +146,77 @@ class Retrying:
                 if n + 1 == self.attempts:
                     raise
             self.sleep(2.0**n)
+
+
+#: A window's frames must fit into one request.
+LEAST_IMAGES = 8
+LOOPBACK = ("localhost", "127.0.0.1", "::1")
+
+
+class Http:
+    """A backend behind a chat-completions address. The key is read from the environment of the worker and is never part
+    of a plan. A faulty setting is an error before any call is made."""
+
+    name = "openai-compat"
+
+    def __init__(self, entry: dict, key_env: str, timeout: float = 120.0) -> None:
+        from urllib.parse import urlsplit
+
+        address = urlsplit(entry["base_url"])
+        self.local = address.hostname in LOOPBACK
+        if address.scheme != "https" and not (address.scheme == "http" and self.local):
+            raise ValueError(f"{entry['base_url']}: must be https, or on this machine")
+        if entry.get("max_images", LEAST_IMAGES) < LEAST_IMAGES:
+            raise ValueError(f"max_images = {entry['max_images']}: a window has {LEAST_IMAGES} frames")
+        if any(x in entry["model"] for x in "<>"):
+            raise ValueError(f"{entry['model']}: a placeholder, not a model")
+        self.entry, self.model_id, self.key_env, self.timeout = entry, entry["model"], key_env, timeout
+
+    def body(self, frames: list[bytes], prompt: str) -> dict:
+        import base64
+
+        detail = {"detail": self.entry["image_detail"]} if self.entry.get("image_detail") else {}
+        images = [{"type": "image_url", "image_url": {"url": "data:image/jpeg;base64," + base64.b64encode(f).decode(), **detail}} for f in frames]
+        out = {"model": self.model_id, "messages": [{"role": "user", "content": [{"type": "text", "text": prompt}, *images]}]}
+        if self.entry.get("provider_order"):
+            out["provider"] = {"order": self.entry["provider_order"]}
+        if self.entry.get("supports_json_schema"):
+            out["response_format"] = {"type": "json_object"}
+        return out
+
+    def caption(self, frames: list[bytes], prompt: str) -> Response:
+        import json
+        import os
+        import time
+        from urllib.error import HTTPError
+        from urllib.request import Request, urlopen
+
+        if len(frames) > self.entry.get("max_images", len(frames)):
+            raise Permanent(f"{len(frames)} images, at most {self.entry['max_images']}")
+        key = os.environ.get(self.key_env)
+        if not key and not self.local:
+            raise Permanent(f"{self.key_env} is not set")
+        head = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {key}"} if key else {})
+        request = Request(self.entry["base_url"].rstrip("/") + "/chat/completions", json.dumps(self.body(frames, prompt)).encode(), head)
+        began = time.monotonic()
+        try:
+            with urlopen(request, timeout=self.timeout) as r:
+                got = json.load(r)
+        except HTTPError as e:
+            raise StatusError(e.code, e.read(300).decode("utf-8", "replace")) from e
+        usage = got.get("usage") or {}
+        text = got["choices"][0]["message"]["content"] or ""
+        return Response(text, time.monotonic() - began, usage.get("prompt_tokens"), usage.get("completion_tokens"), got.get("provider"))
+
+
+def backend(entry: dict, key_env: str, fixture: list[str] | None = None) -> Callable[[], Backend]:
+    """What makes a worker's backend from a registry entry (sources.documents.model_entry). Settings are checked here, on
+    the driver."""
+    if entry["backend"] == Replay.name:
+        if not fixture:
+            raise ValueError("a replaying backend needs a fixture")
+        return lambda: Replay(fixture, entry.get("model", "fake"))
+    if entry["backend"] != Http.name:
+        raise ValueError(f"unknown backend {entry['backend']}")
+    Http(entry, key_env)
+    return lambda: Retrying(Http(entry, key_env))
