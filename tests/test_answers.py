@@ -273,3 +273,22 @@ def test_hands_like_a_plain_loop(spark):
         want[v, f] = (left and left[0], right and right[0], lt, rt)
     got = {(r.video_id, r.frame_idx): (r.left_x, r.right_x, r.left_track_id, r.right_track_id) for r in hands.assign(d).collect()}
     assert got == want and len(got) > 100
+
+
+def test_probe_dump_takes_the_best_and_an_even_spread(spark):
+    frames = [(p, p % 3, 10 * p) for p in range(50)]
+    fd = spark.createDataFrame(frames, "pos long, clip_id long, frame_idx long")
+    for n, most in ((30, 20), (3, 20), (0, 7), (30, 1)):
+        dets = [(p % 3, 10 * p, "lp" if p % 2 else "face", ((p * 37) % 50) / 50) for p in range(0, n)]
+        dets += [(c, f, k, 0.01) for c, f, k, _ in dets]
+        dd = spark.createDataFrame(dets, "clip_id long, frame_idx long, cls string, score double")
+        best = {}
+        for c, f, k, s in dets:
+            best[f // 10] = max(best.get(f // 10, 0), s + (s > {"face": 0.30, "lp": 0.40}[k]))
+        want = sorted(best, key=lambda p: (-best[p], p))[: most // 2]
+        top = set(want)
+        for p in range(0, 50, max(1, 50 // max(1, most - len(want)))):
+            if len(want) < most and p not in want:
+                want.append(p)
+        got = audit.probe_dump(dd, fd, most).collect()
+        assert [r.pos for r in got] == sorted(want) and {r.pos for r in got if r.by_score} == top

@@ -88,6 +88,20 @@ def estimate_cost(clips: DataFrame, ms_per_frame: float, detect_hz: float = 10.0
     return g.withColumn("usd", F.round(F.col("hours") * usd_hour, 6))
 
 
+def probe_dump(dets: DataFrame, frames: DataFrame, most: int = 20, op: dict | None = None) -> DataFrame:
+    """Frames of a probe to look at, `most` at most: half of them those with the best boxes (any box above its operating
+    threshold goes before all others, then by score, then in order), the rest spread evenly over all frames. frames: pos
+    (0, 1, ... over the probe), clip_id, frame_idx. A probe is a bounded list, so it is ranked as a whole."""
+    op = op or {"face": 0.30, "lp": 0.40}
+    best = dets.groupBy("clip_id", "frame_idx").agg(F.max(F.col("score") + (F.col("score") > threshold(op)).cast("int")).alias("best"))
+    top = frames.join(best, ["clip_id", "frame_idx"]).orderBy(F.desc("best"), "pos").limit(most // 2).select("pos", "clip_id", "frame_idx")
+    step = max(1, frames.count() // max(1, most - top.count()))
+    even = frames.where(F.col("pos") % step == 0).select("pos", "clip_id", "frame_idx")
+    both = top.withColumn("turn", F.lit(0)).unionByName(even.withColumn("turn", F.lit(1)))
+    one = both.groupBy("pos", "clip_id", "frame_idx").agg(F.min("turn").alias("turn"))
+    return one.orderBy("turn", "pos").limit(most).select("pos", "clip_id", "frame_idx", (F.col("turn") == 0).alias("by_score")).orderBy("pos")
+
+
 def probe_frames(clips: DataFrame, total: int, hz: float = 10.0) -> DataFrame:
     """Frames to try a detector on: an even spread over each clip, `total` at most, clips in order."""
     n_clips = clips.count()
