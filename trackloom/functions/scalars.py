@@ -129,3 +129,32 @@ def clock_text(frame: Column, fps: Column) -> Column:
     """MM:SS.ss of a frame."""
     s = frame / fps
     return F.format_string("%02d:%05.2f", F.floor(s / 60).cast("int"), s - 60 * F.floor(s / 60))
+
+
+def now_text() -> Column:
+    """The present second in UTC, like 2024-05-01T10:00:00Z."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def flat_landmarks(points: Column) -> Column:
+    """x, y, z of each landmark (an array of structs) in one array of floats."""
+    return F.flatten(F.transform(points, lambda p: F.array(p["x"], p["y"], p["z"]))).cast("array<float>")
+
+
+def wrist(flat: Column) -> tuple[Column, Column]:
+    """x and y of the wrist, the first landmark of a flat array; null without one."""
+    return F.get(flat, F.lit(0)), F.get(flat, F.lit(1))
+
+
+def limited_range(luma: Column, chroma: Column) -> tuple[Column, Column]:
+    """Samples of full range in limited range: luma to 16..235, chroma to 16..240, halves to even."""
+    return F.rint(16 + luma * (219 / 255)).cast("int"), F.rint(16 + chroma * (224 / 255)).cast("int")
+
+
+def output_slots(idx: Column, fps: tuple[int, int], rate: tuple[int, int]) -> Column:
+    """Numbers of the frames of an output of a rational rate that show source frame idx, in whole numbers: its time is
+    rounded to the nearest output frame, halves up, and the last source frame that falls on one is shown."""
+    up, down = fps[1] * rate[0], fps[0] * rate[1]
+    slot = lambda i: F.floor((i * 2 * up + down) / (2 * down))
+    a, b = slot(idx), slot(idx + 1)
+    return F.when(b > a, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))

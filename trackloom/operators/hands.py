@@ -2,6 +2,8 @@
 
 The rule looks at the frame before, so it is a fold: frames of a video in order, one accumulator. It runs in the JVM as
 `aggregate` over the ordered array of a video's frames; a video is the unit of state, and its length bounds the group.
+The fold goes over chunks of CHUNK frames, each folded into an array of its own, so that what grows with the video is
+copied once a chunk and not once a frame.
 """
 
 from __future__ import annotations
@@ -11,9 +13,12 @@ from pyspark.sql import functions as F
 
 #: Farthest plausible move of a wrist between sampled frames.
 MAX_DELTA = 0.25
+CHUNK = 256
 
 _POINT = "struct<x:double,y:double>"
-_STATE = f"struct<pl:{_POINT},pr:{_POINT},lt:int,rt:int,nt:int,out:array<struct<frame_idx:bigint,left_x:double,right_x:double,left_tid:int,right_tid:int>>>"
+_FRAMES = "array<struct<frame_idx:bigint,left_x:double,right_x:double,left_tid:int,right_tid:int>>"
+_STATE = f"struct<pl:{_POINT},pr:{_POINT},lt:int,rt:int,nt:int,out:{_FRAMES}>"
+_CARRY = f"struct<pl:{_POINT},pr:{_POINT},lt:int,rt:int,nt:int,outs:array<{_FRAMES}>>"
 
 
 def _dist(a: str, b: str) -> str:
@@ -53,8 +58,12 @@ def assign(dets: DataFrame, max_delta: float = MAX_DELTA) -> DataFrame:
         "'out', concat(s.out, array(named_struct('frame_idx', q.frame_idx, 'left_x', v.l.x, 'right_x', v.r.x, 'left_tid', v.lt, 'right_tid', case when v.r is not null then coalesce(v.kr, v.nt) end))))), 1)"
     )
     step = step.replace("KL", keep_l).replace("KR", keep_r).replace("'l', L,", f"'l', {l},").replace("'r', R)", f"'r', {r})")
-    zero = f"cast(named_struct('pl', null, 'pr', null, 'lt', null, 'rt', null, 'nt', 0, 'out', array()) as {_STATE})"
-    out = seq.select("video_id", F.explode(F.expr(f"aggregate(f, {zero}, (s, q) -> cast({step} as {_STATE}), s -> s.out)")).alias("o"))
+    chunks = f"transform(sequence(0, int((size(f) - 1) div {CHUNK})), i -> slice(f, i * {CHUNK} + 1, {CHUNK}))"
+    zero = f"cast(named_struct('pl', null, 'pr', null, 'lt', null, 'rt', null, 'nt', 0, 'outs', array()) as {_CARRY})"
+    begin = f"cast(named_struct('pl', g.pl, 'pr', g.pr, 'lt', g.lt, 'rt', g.rt, 'nt', g.nt, 'out', array()) as {_STATE})"
+    chunk = f"aggregate(h, {begin}, (s, q) -> cast({step} as {_STATE}))"
+    carry = f"element_at(transform(array({chunk}), e -> cast(named_struct('pl', e.pl, 'pr', e.pr, 'lt', e.lt, 'rt', e.rt, 'nt', e.nt, 'outs', concat(g.outs, array(e.out))) as {_CARRY})), 1)"
+    out = seq.select("video_id", F.explode(F.expr(f"flatten(aggregate({chunks}, {zero}, (g, h) -> {carry}, g -> g.outs))")).alias("o"))
     return out.select(
         "video_id", "o.frame_idx", "o.left_x", "o.right_x", F.col("o.left_tid").alias("left_track_id"), F.col("o.right_tid").alias("right_track_id"),
         (F.col("o.left_x").isNotNull().cast("int") + F.col("o.right_x").isNotNull().cast("int")).alias("hands_present"),

@@ -41,12 +41,14 @@ def _iou(a: tuple, b: tuple) -> float:
     return both / union if union > 0 else 0.0
 
 
-def match_clip(dets: pd.DataFrame, rules: TrackRules) -> list[tuple]:
-    """Rows (track_id, cls, frame_idx, x1, y1, x2, y2, source, seq) of one clip; dets come in det_seq order."""
+def match_clip(dets: pd.DataFrame, rules: TrackRules, state: dict | None = None) -> list[tuple]:
+    """Rows (track_id, cls, frame_idx, x1, y1, x2, y2, source, seq) of one clip; dets come in det_seq order. state, of an
+    earlier call or empty, is carried on: the frames of a clip may come in several calls."""
     reach = max(rules.hold, rules.back_hold, rules.stride)
-    live: dict[str, list[dict]] = {"face": [], "lp": []}
+    state = {} if state is None else state
+    live: dict[str, list[dict]] = state.setdefault("live", {"face": [], "lp": []})
     rows: list[tuple] = []
-    ids = 0
+    ids, before = state.get("ids", 0), state.get("rows", 0)
     for frame, group in dets.groupby("frame_idx", sort=True):
         boxes = list(zip(group["cls"], group["score"], zip(group["x1"], group["y1"], group["x2"], group["y2"])))
         for cls in ("face", "lp"):
@@ -74,13 +76,14 @@ def match_clip(dets: pd.DataFrame, rules: TrackRules) -> list[tuple]:
                     t["sure"] = frame
                 free.remove(at)
                 t["box"], t["last"] = b, frame
-                rows.append((t["id"], cls, frame, *b, "det_low" if low else "det", len(rows)))
+                rows.append((t["id"], cls, frame, *b, "det_low" if low else "det", before + len(rows)))
             for i in free:
                 score, b = mine[i]
                 if rules.keep is None or score > rules.start[cls]:
                     live[cls].append({"id": ids, "box": b, "last": frame, "sure": frame})
-                    rows.append((ids, cls, frame, *b, "det", len(rows)))
+                    rows.append((ids, cls, frame, *b, "det", before + len(rows)))
                     ids += 1
+    state["ids"], state["rows"] = ids, before + len(rows)
     return rows
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import actions, annolog, audit, geom, hands, review, runs, tracks
-from ..sources import documents
+from ..operators import actions, annolog, audit, detect, geom, hands, review, runs, tracks
+from ..sources import documents, frames
 from . import projections as P
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -365,3 +365,45 @@ def a4_chapters(spark, sf):
     name = F.when(k % 3 == 0, F.format_string("GX%02d%04d", k % 100, k % 10000)).otherwise(F.col("p_name"))
     g, c = S.chapter(name)
     return p.select("p_partkey", g.alias("grp"), c.cast("long").alias("chapter"))
+
+
+@query("u5_detections", _DETS + """ select clip_id, frame_idx, row_number() over (partition by clip_id, frame_idx order by cls = 'lp', det_seq) - 1 as det_seq, cls, score from p""")
+def u5_detections(spark, sf):
+    d = P.detections(spark, sf)
+    both = detect.united(d.where("cls = 'face'"), d.where("cls = 'lp'"))
+    return both.select("clip_id", "frame_idx", "det_seq", "cls", "score")
+
+
+@query("b5_frames_to_do", _DETS + ", a as (select distinct clip_id, frame_idx from p where score >= 20e-2) select distinct clip_id, frame_idx from p where (clip_id, frame_idx) not in (select (clip_id, frame_idx) from a)")
+def b5_frames_to_do(spark, sf):
+    d = P.detections(spark, sf)
+    return documents.frames_to_do(d.select("clip_id", "frame_idx").distinct(), d.where("score >= 0.2").select("clip_id", "frame_idx").distinct())
+
+
+#: A frame's last whole number of thirds up to which an output of 4 frames in 3 seconds has its frames, at 30 frames a second.
+_SLOT = "(({i}) * 8 + 90) // 180"
+
+
+@query("a5_stills", _FRAMES + ", s as (select video_id, frame_idx as source_idx, " + _SLOT.format(i="frame_idx") + " as a, " + _SLOT.format(i="frame_idx + 1") + " as b from p) select video_id, source_idx, a as frame_idx from s where b > a")
+def a5_stills(spark, sf):
+    return frames.sample(P.hand_frames(spark, sf), (FPS, 1), (4, 3)).select("video_id", "source_idx", "frame_idx")
+
+
+@query("b13_timelapse", _FRAMES + ", s as (select video_id, frame_idx as source_idx, (frame_idx * 2 + 30) // 60 as a, (frame_idx * 2 + 32) // 60 as b from p) select video_id, source_idx, a as frame_idx, a * 1000 // 15 as shown_ms from s where b > a")
+def b13_timelapse(spark, sf):
+    return frames.timelapse(P.hand_frames(spark, sf), (FPS, 1)).select("video_id", "source_idx", "frame_idx", "shown_ms")
+
+
+@query("c18_range", "select p_partkey, cast(round_even(16e0 + (p_partkey % 256) * (219e0 / 255e0), 0) as int) as luma, cast(round_even(16e0 + (p_partkey % 256) * (224e0 / 255e0), 0) as int) as chroma from part")
+def c18_range(spark, sf):
+    p = spark.read.parquet(f"{sf}/part.parquet")
+    luma, chroma = S.limited_range(F.col("p_partkey") % 256, F.col("p_partkey") % 256)
+    return p.select("p_partkey", luma.alias("luma"), chroma.alias("chroma"))
+
+
+@query("c9_landmarks", _DETS + " select clip_id, det_seq, 6 as n, cast(cast(x1 as float) as double) as wrist_x, cast(cast(y1 as float) as double) as wrist_y, cast(cast(x2 as float) as double) as last_x from p")
+def c9_landmarks(spark, sf):
+    point = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"), F.lit(0.0).alias("z"))
+    d = P.detections(spark, sf).withColumn("flat", S.flat_landmarks(F.array(point("x1", "y1"), point("x2", "y2"))))
+    x, y = S.wrist(F.col("flat"))
+    return d.select("clip_id", "det_seq", F.size("flat").alias("n"), x.cast("double").alias("wrist_x"), y.cast("double").alias("wrist_y"), F.get("flat", F.lit(3)).cast("double").alias("last_x"))

@@ -162,3 +162,20 @@ def clips_to_do(clips: DataFrame, manifests: DataFrame, config_hash: str) -> Dat
     and does not count."""
     done = manifests.where(F.col("config_hash") == config_hash).select("clip_id").distinct()
     return clips.join(done, "clip_id", "left_anti")
+
+
+def append_checkpoint(attempts: DataFrame, root: str, current: str) -> None:
+    """Appends attempted frames (clip_id, frame_idx, detections, empty ones too) under the fingerprint of their settings.
+    An append is committed whole or not at all."""
+    attempts.select("clip_id", "frame_idx", "detections", F.lit(current).alias("fingerprint")).write.mode("append").partitionBy("fingerprint").parquet(root)
+
+
+def attempted(spark: SparkSession, root: str, current: str) -> DataFrame:
+    """Frames attempted under this fingerprint, each once, however often an attempt was repeated."""
+    d = spark.read.parquet(root).where(F.col("fingerprint") == current).drop("fingerprint")
+    return d.groupBy("clip_id", "frame_idx").agg(F.first("detections").alias("detections"))
+
+
+def frames_to_do(frames: DataFrame, done: DataFrame) -> DataFrame:
+    """Frames that were not attempted; one without a detection was."""
+    return frames.join(done.select("clip_id", "frame_idx"), ["clip_id", "frame_idx"], "left_anti")
