@@ -185,7 +185,7 @@ def test_packing(spark, empty):
     assert packing.pack(empty, packing.word_tokenizer_path()).count() == 0
 
 
-def test_packing_plan_is_never_worse_than_best_fit():
+def test_packing_plans_need_no_more_than_best_fit_in_sum():
     from bisect import bisect_left, insort
 
     def bfd(items, cap):

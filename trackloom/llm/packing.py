@@ -11,7 +11,8 @@ of the corpus. Three steps:
    first rank, number of pieces, ...); each step of it uses up a length or a class, so its size is bounded by the
    capacity and not by the corpus.
 3. Every piece gets its rank among those of its length (ranks within salted slices plus the slices' offsets, so a
-   length that a third of all documents share is dealt over many tasks) and looks up its place in the plan.
+   length that a third of all documents share is dealt over many tasks) and looks up its place in the plan. A length has
+   slices by its share of the pieces, so there are at most `capacity` slices more than the salt asks for.
 
 Cases: a null or empty text is one piece with the end id alone; other columns are ignored; repeated rows are packed
 each. A text that is longer than the capacity is cut, and only such a text.
@@ -245,8 +246,8 @@ def reduce_dominated(counts: dict[int, int], capacity: int, plan: Plan) -> None:
             a, b = pair
             if best >= top:
                 take([j, best])
-            elif a == best and j + sum(sorted((largest_within(b - 1, j, a), largest_within(b - 1, j, a)))) < j + 2:
-                take([j, a, b])  # no two pieces below b exist, so nothing can replace it
+            elif a == best and not largest_within(b - 1, j, a):
+                take([j, a, b])  # nothing smaller than b is there to replace it
             else:
                 break
 
@@ -307,15 +308,18 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     p = cut(pieces(docs, tokenizer_path, capacity, end_id), "pieces")
     total = p.count()
     salts = max(partitions(spark), -(-total // ROWS_PER_SLICE))
-    p = p.withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(salts)).cast("int"))
+    sizes = cut(p.groupBy("length").agg(F.count(F.lit(1)).alias("n")), "lengths")  # at most `capacity` rows
+    counts = {r[0]: r[1] for r in sizes.collect()}
+    share = sizes.select("length", F.ceil(F.col("n") * (salts / max(1, total))).alias("lots"))
+    p = p.join(F.broadcast(share), "length")
+    p = p.withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.col("lots")).cast("int")).drop("lots")
     p = cut(p, "sliced")
-    slices = cut(p.groupBy("length", "slice").agg(F.count(F.lit(1)).alias("n")), "slices")
-    counts = {r[0]: r[1] for r in slices.groupBy("length").agg(F.sum("n")).collect()}  # at most `capacity` rows
+    slices = p.groupBy("length", "slice").agg(F.count(F.lit(1)).alias("n"))
     plan = plan_packing(counts, capacity)
     runs = np.array(sorted(plan.runs) or [(0, 0, 1, 0, 0)], dtype=np.int64)
     keys = runs[:, 0] * (1 << 48) + runs[:, 1]
 
-    # Ranks: (length, slice) has at most ROWS_PER_SLICE rows or so, the offsets of the slices are a small table.
+    # Ranks: (length, slice) has at most ROWS_PER_SLICE rows or so, and there are few slices: their offsets are a small table.
     before = Window.partitionBy("length").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     within = Window.partitionBy("length", "slice").orderBy("doc_id", "piece")
