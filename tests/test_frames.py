@@ -202,3 +202,61 @@ def test_hands_over_many_chunks(spark, monkeypatch):
     want = hands.assign(d)
     monkeypatch.setattr(hands, "CHUNK", 3)
     same(hands.assign(d), want)
+
+
+def overlap(a, b):
+    w, h = max(0.0, min(a[2], b[2]) - max(a[0], b[0])), max(0.0, min(a[3], b[3]) - max(a[1], b[1]))
+    return w * h / ((a[2] - a[0]) * (a[3] - a[1]) + (b[2] - b[0]) * (b[3] - b[1]) - w * h)
+
+
+def plain_tracks(rows, rules):
+    """Tracks of one clip as lists of (frame, box, source), every track looking at a frame's boxes in order of birth."""
+    found = []
+    for frame in sorted({r.frame_idx for r in rows}):
+        for cls in ("face", "lp"):
+            op = rules.start[cls]
+            boxes = {r.det_seq: r for r in rows if r.frame_idx == frame and r.cls == cls and r.score > (op if rules.keep is None else rules.keep)}
+            boxes = {k: r for k, r in boxes.items() if min(r.x2 - r.x1, r.y2 - r.y1) >= rules.min_box}
+            for t in [t for t in found if t["cls"] == cls and frame - t["at"][-1][0] <= max(rules.hold, rules.back_hold, rules.stride)]:
+                old = t["at"][-1][1]
+                fits = [(-overlap(old, (r.x1, r.y1, r.x2, r.y2)), k) for k, r in sorted(boxes.items())]
+                v, k = min(fits, default=(0, None))
+                if v == 0:
+                    continue
+                r, sure = boxes[k], boxes[k].score > op
+                if -v < (rules.iou if sure else rules.low_iou):
+                    continue
+                if not sure and frame - t["sure"] > rules.max_low_run * rules.stride:
+                    continue
+                b = (r.x1, r.y1, r.x2, r.y2)
+                t["at"].append((frame, b if sure else (*map(min, old[:2], b[:2]), *map(max, old[2:], b[2:])), "det" if sure else "det_low"))
+                t["sure"] = frame if sure else t["sure"]
+                del boxes[k]
+            found += [{"cls": cls, "sure": frame, "at": [(frame, (r.x1, r.y1, r.x2, r.y2), "det")]} for _, r in sorted(boxes.items()) if r.score > op]
+    return found
+
+
+@pytest.mark.parametrize("keep", [None, 0.15])
+def test_tracks_and_boxes_like_a_plain_loop(spark, keep):
+    """Every track, and every box between and around its own, of the small tables."""
+    rules = tracks.TrackRules(keep=keep, hold=4, back_hold=7)
+    d = P.detections(spark, SF)
+    by = {}
+    for r in d.collect():
+        by.setdefault(r.clip_id, []).append(r)
+    want, dense = [], []
+    for clip, rows in by.items():
+        for i, t in enumerate(plain_tracks(rows, rules)):
+            at = t["at"]
+            want += [(clip, i, t["cls"], f, *b, s) for f, b, s in at]
+            dense += [(clip, i, f, s, *b) for f, b, s in at]
+            for (f, a, _), (g, b, _) in zip(at, at[1:]):
+                dense += [(clip, i, k, "interp", *(x + (y - x) * (k - f) / (g - f) for x, y in zip(a, b))) for k in range(f + 1, g)]
+            dense += [(clip, i, at[-1][0] + k, "hold", *at[-1][1]) for k in range(1, 5)]
+            dense += [(clip, i, k, "hold", *at[0][1]) for k in range(max(0, at[0][0] - 7), at[0][0])]
+    got = tracks.build_tracks(d, rules)
+    rows = got.select("clip_id", "track_id", "cls", "frame_idx", "x1", "y1", "x2", "y2", "source").collect()
+    assert sorted(map(tuple, rows)) == sorted(want) and len(want) > 500
+    rows = tracks.densify(got, rules).select("clip_id", "track_id", "frame_idx", "source", "x1", "y1", "x2", "y2").collect()
+    near = lambda x: [(*r[:4], *(round(v, 6) + 0.0 for v in r[4:])) for r in x]
+    assert sorted(near(rows)) == sorted(near(dense))
