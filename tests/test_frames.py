@@ -260,3 +260,27 @@ def test_tracks_and_boxes_like_a_plain_loop(spark, keep):
     rows = tracks.densify(got, rules).select("clip_id", "track_id", "frame_idx", "source", "x1", "y1", "x2", "y2").collect()
     near = lambda x: [(*r[:4], *(round(v, 6) + 0.0 for v in r[4:])) for r in x]
     assert sorted(near(rows)) == sorted(near(dense))
+
+
+def steps(df, *names):
+    """How often each step stands in a plan."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [text.count(n) for n in names]
+
+
+def test_boxes_between_run_the_matching_once(spark):
+    d = P.detections(spark, SF)
+    rules = tracks.TrackRules()
+    dense = tracks.densify(tracks.build_tracks(d, rules), rules)
+    assert steps(dense, "MapInArrow", "FlatMapGroupsInPandas", "FileScan parquet", "Union") == [1, 0, 1, 0]
+
+
+def test_boxes_of_repeated_and_unknown_frames(spark):
+    """A frame listed twice has no box between, a track's only row has boxes on both sides, a row without a frame stays."""
+    rows = [(1, 0, "lp", 5, 0.0, 0.0, 9.0, 9.0, "det"), (1, 0, "lp", 5, 0.0, 0.0, 9.0, 9.0, "det"), (1, 1, "lp", 1, 2.0, 0.0, 9.0, 9.0, "det_low"), (2, 0, "face", None, 1.0, 1.0, 2.0, 2.0, "det")]
+    t = spark.createDataFrame(rows, "clip_id long, track_id int, cls string, frame_idx long, x1 double, y1 double, x2 double, y2 double, source string")
+    got = tracks.densify(t, tracks.TrackRules(hold=1, back_hold=2)).select("clip_id", "track_id", "frame_idx", "source", "x1").collect()
+    key = lambda r: tuple(map(str, r))
+    want = [(1, 0, 3, "hold", 0.0), (1, 0, 4, "hold", 0.0), (1, 0, 5, "det", 0.0), (1, 0, 5, "det", 0.0), (1, 0, 6, "hold", 0.0)]
+    want += [(1, 1, 0, "hold", 2.0), (1, 1, 1, "det_low", 2.0), (1, 1, 2, "hold", 2.0), (2, 0, None, "det", 1.0)]
+    assert sorted(map(key, got)) == sorted(map(key, want))

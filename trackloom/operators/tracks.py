@@ -1,14 +1,18 @@
 """Tracks of detected boxes, the boxes between and around them, and the fill boxes made of them.
 
-Matching boxes to tracks is greedy and sequential within a clip, so it is the one grouped Python step; it gives one row
-per matched detection. Interpolation, holds and dilation are set-based on top of it.
+Matching boxes to tracks is greedy and sequential within a clip, so it is the one Python step; it reads sorted rows as a
+stream and gives one row per matched detection. Interpolation, holds and dilation are set-based on top of it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,32 +34,43 @@ class TrackRules:
 
 
 SCHEMA = "clip_id long, track_id int, cls string, frame_idx long, x1 double, y1 double, x2 double, y2 double, source string, seq int"
+INPUT = ["clip_id", "frame_idx", "cls", "score", "x1", "y1", "x2", "y2"]
 
 
 def _iou(a: tuple, b: tuple) -> float:
-    w, h = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
-    if w <= 0 or h <= 0:
+    ax1, ay1, ax2, ay2 = a
+    bx1, by1, bx2, by2 = b
+    w = (bx2 if bx2 < ax2 else ax2) - (bx1 if bx1 > ax1 else ax1)
+    if w <= 0:
+        return 0.0
+    h = (by2 if by2 < ay2 else ay2) - (by1 if by1 > ay1 else ay1)
+    if h <= 0:
         return 0.0
     both = w * h
-    union = (a[2] - a[0]) * (a[3] - a[1]) + (b[2] - b[0]) * (b[3] - b[1]) - both
+    union = (ax2 - ax1) * (ay2 - ay1) + (bx2 - bx1) * (by2 - by1) - both
     return both / union if union > 0 else 0.0
 
 
-def match_clip(dets: pd.DataFrame, rules: TrackRules, state: dict | None = None) -> list[tuple]:
-    """Rows (track_id, cls, frame_idx, x1, y1, x2, y2, source, seq) of one clip; dets come in det_seq order. state, of an
-    earlier call or empty, is carried on: the frames of a clip may come in several calls."""
+def match(dets: Iterable[tuple], rules: TrackRules, state: dict) -> list[tuple]:
+    """Rows (track_id, cls, frame_idx, x1, y1, x2, y2, source, seq) of one clip's detections (frame_idx, cls, score, x1, y1,
+    x2, y2), which come by frame and det_seq, a frame whole. state, of an earlier call or empty, is carried on."""
     reach = max(rules.hold, rules.back_hold, rules.stride)
-    state = {} if state is None else state
     live: dict[str, list[dict]] = state.setdefault("live", {"face": [], "lp": []})
     rows: list[tuple] = []
     ids, before = state.get("ids", 0), state.get("rows", 0)
-    for frame, group in dets.groupby("frame_idx", sort=True):
-        boxes = list(zip(group["cls"], group["score"], zip(group["x1"], group["y1"], group["x2"], group["y2"])))
-        for cls in ("face", "lp"):
-            mine = [(s, b) for c, s, b in boxes if c == cls]
+    for frame, group in groupby(dets, itemgetter(0)):
+        boxes: dict[str, list[tuple]] = {"face": [], "lp": []}
+        for d in group:
+            if d[1] in boxes:
+                boxes[d[1]].append((d[2], d[3:]))
+        for cls, mine in boxes.items():
+            if not mine:
+                continue
             live[cls] = [t for t in live[cls] if frame - t["last"] <= reach]
             free = [i for i, (s, _) in enumerate(mine) if rules.keep is None or s > rules.keep]
             for t in live[cls]:
+                if not free:
+                    break
                 best, at = 0.0, -1
                 for i in free:
                     v = _iou(t["box"], mine[i][1])
@@ -87,6 +102,12 @@ def match_clip(dets: pd.DataFrame, rules: TrackRules, state: dict | None = None)
     return rows
 
 
+def match_clip(dets: pd.DataFrame, rules: TrackRules, state: dict | None = None) -> list[tuple]:
+    """`match` of one clip's detections in det_seq order; the frames of a clip may come in several calls."""
+    d = dets[dets["frame_idx"].notna()].sort_values("frame_idx", kind="stable")
+    return match(zip(*[d[c].tolist() for c in INPUT[1:]]), rules, {} if state is None else state)
+
+
 def operating(dets: DataFrame, rules: TrackRules) -> DataFrame:
     """Detections that take part: above the class's threshold, or above the lower one with hysteresis."""
     if rules.keep is not None:
@@ -102,31 +123,67 @@ def split_small(dets: DataFrame, rules: TrackRules) -> tuple[DataFrame, DataFram
     return dets.where(~small), dets.where(small & seeds)
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    fast = lambda c: not c.null_count and (pa.types.is_integer(c.type) or pa.types.is_floating(c.type))
+    return zip(*[c.to_numpy(zero_copy_only=False).tolist() if fast(c) else c.to_pylist() for c in batch.columns])
+
+
+def match_sorted(rules: TrackRules):
+    """Mapper from INPUT rows by clip, frame and det_seq to rows of SCHEMA. Of a clip only the live tracks are kept between
+    batches, and of a frame that the next batch may go on with, its rows."""
+    out = pa.schema([(c.split()[0], {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string()}[c.split()[1]]) for c in SCHEMA.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state: dict = {}
+        at: list = []
+
+        def matched(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            found = []
+            for clip, group in groupby(rows, itemgetter(0)):
+                if at != [clip]:
+                    at[:] = [clip]
+                    state.clear()
+                found += [(clip, *r) for r in match((r[1:] for r in group), rules, state)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), out.types)], schema=out)
+
+        held: list[tuple] = []
+        for batch in batches:
+            rows = held + list(_rows(batch))
+            n = len(rows)
+            while n and rows[n - 1][:2] == rows[-1][:2]:
+                n -= 1
+            held = rows[n:]
+            yield from matched(rows[:n])
+        yield from matched(held)
+
+    return run
+
+
 def build_tracks(dets: DataFrame, rules: TrackRules) -> DataFrame:
     """Matched detections of every clip."""
     kept, _ = split_small(operating(dets, rules), rules)
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = match_clip(pdf.sort_values("det_seq", kind="stable"), rules)
-        return pd.DataFrame([(key[0], *r) for r in rows], columns=[c.split()[0] for c in SCHEMA.split(", ")])
-
-    cols = ["clip_id", "frame_idx", "det_seq", "cls", "score", "x1", "y1", "x2", "y2"]
-    return kept.select(*cols).groupBy("clip_id").applyInPandas(run, SCHEMA)
+    order = ["clip_id", "frame_idx", F.col("det_seq").asc_nulls_last()]
+    rows = kept.where("frame_idx is not null").select(*INPUT, "det_seq").repartition("clip_id").sortWithinPartitions(*order)
+    return rows.select(*INPUT).mapInArrow(match_sorted(rules), SCHEMA)
 
 
 def densify(tracks: DataFrame, rules: TrackRules) -> DataFrame:
-    """Interpolated boxes between a track's real ones, and held boxes before the first and after the last."""
+    """Interpolated boxes between a track's real ones, and held boxes before the first and after the last. Each row gives
+    the frames it stands for in one array, so what made the tracks runs once."""
     w = Window.partitionBy("clip_id", "track_id").orderBy("frame_idx")
     names = ["x1", "y1", "x2", "y2"]
     t = tracks.select("clip_id", "track_id", "cls", "frame_idx", *names, "source", F.lead("frame_idx").over(w).alias("nf"), F.lag("frame_idx").over(w).alias("pf"), *[F.lead(c).over(w).alias(f"n{c}") for c in names])
-    f = F.col("frame_idx")
-    span = F.when(F.col("nf") > f + 1, F.sequence(f + 1, F.col("nf") - 1, F.lit(1).cast("long")))
-    part = (F.col("at") - f) / (F.col("nf") - f)
-    mid = t.withColumn("at", F.explode(span)).select("clip_id", "track_id", "cls", F.col("at").alias("frame_idx"), *[(F.col(c) + (F.col(f"n{c}") - F.col(c)) * part).alias(c) for c in names], F.lit("interp").alias("source"))
-    after = F.when(F.col("nf").isNull() & F.lit(rules.hold > 0), F.sequence(f + 1, f + rules.hold, F.lit(1).cast("long")))
-    before = F.when(F.col("pf").isNull() & (f > 0) & F.lit(rules.back_hold > 0), F.sequence(F.greatest(F.lit(0), f - rules.back_hold), f - 1, F.lit(1).cast("long")))
-    held = t.withColumn("at", F.explode(F.concat(F.coalesce(after, F.array().cast("array<bigint>")), F.coalesce(before, F.array().cast("array<bigint>"))))).select("clip_id", "track_id", "cls", F.col("at").alias("frame_idx"), *names, F.lit("hold").alias("source"))
-    return t.select("clip_id", "track_id", "cls", "frame_idx", *names, "source").unionByName(mid).unionByName(held)
+    f, nf, at = F.col("frame_idx"), F.col("nf"), F.col("at")
+    none, step = F.array().cast("array<bigint>"), F.lit(1).cast("long")
+    between = F.when(nf > f + 1, F.sequence(f + 1, nf - 1, step))
+    after = F.when(nf.isNull() & F.lit(rules.hold > 0), F.sequence(f + 1, f + rules.hold, step))
+    before = F.when(F.col("pf").isNull() & (f > 0) & F.lit(rules.back_hold > 0), F.sequence(F.greatest(F.lit(0), f - rules.back_hold), f - 1, step))
+    t = t.withColumn("at", F.explode(F.concat(F.array(f), F.coalesce(between, after, none), F.coalesce(before, none))))
+    mid, part = (at > f) & nf.isNotNull(), (at - f) / (nf - f)
+    boxes = [F.when(mid, F.col(c) + (F.col(f"n{c}") - F.col(c)) * part).otherwise(F.col(c)).alias(c) for c in names]
+    source = F.when(mid, F.lit("interp")).when(at != f, F.lit("hold")).otherwise(F.col("source"))
+    return t.select("clip_id", "track_id", "cls", at.alias("frame_idx"), *boxes, source.alias("source"))
 
 
 def floor(dets: DataFrame, sweep: float, classes: tuple[str, ...] = ("face", "lp")) -> DataFrame:
