@@ -292,3 +292,30 @@ def test_probe_dump_takes_the_best_and_an_even_spread(spark):
                 want.append(p)
         got = audit.probe_dump(dd, fd, most).collect()
         assert [r.pos for r in got] == sorted(want) and {r.pos for r in got if r.by_score} == top
+
+
+def test_clip_frames_number_no_rows(spark):
+    from trackloom.plans import projections as P
+    from trackloom.plans import registry
+
+    got = registry.clips(spark, SF)
+    want = P.detections(spark, SF).groupBy("clip_id").agg((F.max("frame_idx") + 1).alias("n_frames"))
+    assert sorted(got.select("clip_id", "n_frames").collect()) == sorted(want.collect())
+    assert got.select("clip_id", "n_frames").schema.simpleString() == want.schema.simpleString()
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_forced_boxes_read_their_tables_once_a_check(spark, tmp_path):
+    """The query and its check each read the boxes and the clips once; a clip whose boxes are all empty is lost."""
+    clips = spark.createDataFrame([(1, 100, 200, 200), (2, 9, 200, 200)], "clip_id long, n_frames long, width int, height int")
+    boxes = spark.createDataFrame([(1, 3, 1.0, 1.0, 9.0, 9.0), (1, 3, 5.0, 5.0, 5.0, 9.0), (3, 3, 1.0, 1.0, 1.0, 1.0)], "clip_id long, frame_idx long, x1 double, y1 double, x2 double, y2 double")
+    for d, name in ((clips, "clips"), (boxes, "boxes")):
+        d.write.parquet(str(tmp_path / name))
+    read = lambda n: spark.read.parquet(str(tmp_path / n))
+    got = documents.forced_fills(read("boxes"), read("clips"), tracks.TrackRules(hold=1, back_hold=1), 200, 200)
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    assert sorted(r.frame_idx for r in got.collect()) == [2, 3, 4]
+    for empty in ((300.0, 1.0, 310.0, 9.0), (5.0, 1.0, 5.0, 9.0)):
+        more = spark.createDataFrame([(2, 1, *empty)], boxes.schema)
+        with pytest.raises(ValueError, match=r"\[2\]"):
+            documents.forced_fills(boxes.unionByName(more), clips, tracks.TrackRules(), 200, 200)

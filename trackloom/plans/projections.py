@@ -45,6 +45,11 @@ select l_suppkey as clip_id,
        (cast(l_quantity as int) % 4) * 30e0 + 60e0 + l_linenumber * 6e0 as y2
 from o"""
 
+#: Frames of every clip of DETECTIONS: its greatest rn is the number of rows less one, so nothing is numbered for it.
+CLIP_FRAMES = """
+select l_suppkey as clip_id, cast(3 * floor((count(*) - 1) / 3e0) as bigint) + 1 as n_frames
+from lineitem group by l_suppkey"""
+
 ANNOTATION_LOG = """
 select user_id as video_id,
        cast(regexp_extract(props, '([0-9]+)', 1) as int) % 10 as unit_idx,
@@ -102,6 +107,10 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(spark, sf_dir, DETECTIONS)
 
 
+def clip_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return project(spark, sf_dir, CLIP_FRAMES)
+
+
 def annotation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(spark, sf_dir, ANNOTATION_LOG)
 

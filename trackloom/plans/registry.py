@@ -207,7 +207,7 @@ def w5_fill_boxes(spark, sf):
 
 
 def clips(spark, sf):
-    return P.detections(spark, sf).groupBy("clip_id").agg((F.max("frame_idx") + 1).alias("n_frames")).withColumns({"width": F.lit(WIDTH), "height": F.lit(HEIGHT), "fps": F.lit(float(FPS))})
+    return P.clip_frames(spark, sf).withColumns({"width": F.lit(WIDTH), "height": F.lit(HEIGHT), "fps": F.lit(float(FPS))})
 
 
 @query("g4_fill_stats", _DETS + "," + _DILATED + """, n as (select clip_id, max(frame_idx)+1 as n_frames from p group by 1), a as (select clip_id, frame_idx, sum((x2-x1)*(y2-y1)) as area from fills group by 1, 2), s as (select clip_id, count(*) as k, max(area) as m from a group by 1), f as (select clip_id, count(distinct frame_idx) as ff from fills where cls='face' group by 1)
