@@ -284,3 +284,23 @@ def test_boxes_of_repeated_and_unknown_frames(spark):
     want = [(1, 0, 3, "hold", 0.0), (1, 0, 4, "hold", 0.0), (1, 0, 5, "det", 0.0), (1, 0, 5, "det", 0.0), (1, 0, 6, "hold", 0.0)]
     want += [(1, 1, 0, "hold", 2.0), (1, 1, 1, "det_low", 2.0), (1, 1, 2, "hold", 2.0), (2, 0, None, "det", 1.0)]
     assert sorted(map(key, got)) == sorted(map(key, want))
+
+
+def matched_in_batches(spark, rules):
+    """Batches that end anywhere, even within a frame, give the rows of whole clips; a clip without a number is one too."""
+    import pandas as pd
+    import pyarrow as pa
+
+    d = P.detections(spark, SF).toPandas().sort_values(["clip_id", "frame_idx", "det_seq"])
+    d = d[d["score"] > (rules.keep or 0.4)].astype({"clip_id": "Int64"})
+    d.loc[d["clip_id"] == d["clip_id"].max(), "clip_id"] = pd.NA
+    want = [(None if pd.isna(c) else c, *r) for c, g in d.groupby("clip_id", sort=False, dropna=False) for r in tracks.match_clip(g, rules)]
+    table = pa.Table.from_pandas(d[tracks.INPUT], preserve_index=False)
+    for size in (1, 2, 7, 1000, len(d)):
+        got = [tuple(r.values()) for b in tracks.match_sorted(rules)(iter(table.to_batches(size))) for r in b.to_pylist()]
+        assert got == want and len(got) > 300
+    assert list(tracks.match_sorted(rules)(iter(table.slice(0, 0).to_batches()))) == []
+
+
+def test_weak_boxes_over_batches(spark):
+    matched_in_batches(spark, tracks.TrackRules(keep=0.15))
