@@ -304,3 +304,9 @@ def matched_in_batches(spark, rules):
 
 def test_weak_boxes_over_batches(spark):
     matched_in_batches(spark, tracks.TrackRules(keep=0.15))
+
+
+def test_tracks_over_batches(spark):
+    rules = tracks.TrackRules()
+    matched_in_batches(spark, rules)
+    assert steps(tracks.build_tracks(P.detections(spark, SF), rules), "MapInArrow", "FlatMapGroupsInPandas", "FileScan parquet") == [1, 0, 1]
