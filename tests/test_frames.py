@@ -310,3 +310,15 @@ def test_tracks_over_batches(spark):
     rules = tracks.TrackRules()
     matched_in_batches(spark, rules)
     assert steps(tracks.build_tracks(P.detections(spark, SF), rules), "MapInArrow", "FlatMapGroupsInPandas", "FileScan parquet") == [1, 0, 1]
+
+
+def test_low_frames_of_one_matching(spark):
+    rules = tracks.hysteresis(tracks.TrackRules(), 0.15)
+    d = P.detections(spark, SF)
+    want = {}
+    for clip, g in d.where("score > 0.15").toPandas().sort_values("det_seq").groupby("clip_id"):
+        low = [r[2] for r in tracks.match_clip(g, rules) if r[7] == "det_low"]
+        want |= {clip: (sorted(set(low)), len(low))} if low else {}
+    got = tracks.low_frames(tracks.build_tracks(d, rules))
+    assert steps(got, "MapInArrow", "FlatMapGroupsInPandas", "FileScan parquet") == [1, 0, 1]
+    assert {r.clip_id: (r.det_low_frames, r.n_low_absorbed) for r in got.collect()} == want and want
