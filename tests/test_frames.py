@@ -322,3 +322,14 @@ def test_low_frames_of_one_matching(spark):
     got = tracks.low_frames(tracks.build_tracks(d, rules))
     assert steps(got, "MapInArrow", "FlatMapGroupsInPandas", "FileScan parquet") == [1, 0, 1]
     assert {r.clip_id: (r.det_low_frames, r.n_low_absorbed) for r in got.collect()} == want and want
+
+
+def test_columns_of_a_batch_as_values():
+    """A class is one object however often it stands in a batch; nulls, slices and empty columns keep their values."""
+    import pyarrow as pa
+
+    lists = [["face", "lp", None, "face"], ["lp"] * 5, [], [None, None], [1, None, 3], [1, 2], [0.5, None], [0.1, 0.2]]
+    cols = [pa.array(x, t) for x, t in zip(lists, [pa.string()] * 4 + [pa.int64()] * 2 + [pa.float64()] * 2)]
+    assert [tracks._values(c) for c in cols] == lists and [tracks._values(c.slice(1)) for c in cols] == [x[1:] for x in lists]
+    assert len(set(map(id, tracks._values(pa.array(["face long", "lp long"] * 50))))) == 2
+    assert [type(v) for v in tracks._values(cols[5]) + tracks._values(cols[7])] == [int, int, float, float]

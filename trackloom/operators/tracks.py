@@ -37,65 +37,61 @@ SCHEMA = "clip_id long, track_id int, cls string, frame_idx long, x1 double, y1
 INPUT = ["clip_id", "frame_idx", "cls", "score", "x1", "y1", "x2", "y2"]
 
 
-def _iou(a: tuple, b: tuple) -> float:
-    ax1, ay1, ax2, ay2 = a
-    bx1, by1, bx2, by2 = b
-    w = (bx2 if bx2 < ax2 else ax2) - (bx1 if bx1 > ax1 else ax1)
-    if w <= 0:
-        return 0.0
-    h = (by2 if by2 < ay2 else ay2) - (by1 if by1 > ay1 else ay1)
-    if h <= 0:
-        return 0.0
-    both = w * h
-    union = (ax2 - ax1) * (ay2 - ay1) + (bx2 - bx1) * (by2 - by1) - both
-    return both / union if union > 0 else 0.0
-
-
 def match(dets: Iterable[tuple], rules: TrackRules, state: dict) -> list[tuple]:
-    """Rows (track_id, cls, frame_idx, x1, y1, x2, y2, source, seq) of one clip's detections (frame_idx, cls, score, x1, y1,
-    x2, y2), which come by frame and det_seq, a frame whole. state, of an earlier call or empty, is carried on."""
-    reach = max(rules.hold, rules.back_hold, rules.stride)
+    """Rows (track_id, cls, frame_idx, x1, y1, x2, y2, source, seq) of one clip's detections (frame_idx, cls, score, (x1, y1,
+    x2, y2)), which come by frame and det_seq, a frame whole. state, of an earlier call or empty, is carried on."""
+    reach, keep, low_reach = max(rules.hold, rules.back_hold, rules.stride), rules.keep, rules.max_low_run * rules.stride
     live: dict[str, list[dict]] = state.setdefault("live", {"face": [], "lp": []})
     rows: list[tuple] = []
     ids, before = state.get("ids", 0), state.get("rows", 0)
     for frame, group in groupby(dets, itemgetter(0)):
-        boxes: dict[str, list[tuple]] = {"face": [], "lp": []}
+        boxes: dict[str, list[tuple]] = {}
         for d in group:
             if d[1] in boxes:
-                boxes[d[1]].append((d[2], d[3:]))
-        for cls, mine in boxes.items():
-            if not mine:
+                boxes[d[1]].append(d)
+            elif d[1] in live:
+                boxes[d[1]] = [d]
+        for cls in live:
+            if cls not in boxes:
                 continue
-            live[cls] = [t for t in live[cls] if frame - t["last"] <= reach]
-            free = [i for i, (s, _) in enumerate(mine) if rules.keep is None or s > rules.keep]
-            for t in live[cls]:
+            start = rules.start[cls]
+            free = boxes[cls] if keep is None else [d for d in boxes[cls] if d[2] > keep]
+            tracks = live[cls] = [t for t in live[cls] if frame - t["last"] <= reach]
+            for t in tracks:
                 if not free:
                     break
+                o = ax1, ay1, ax2, ay2 = t["box"]
                 best, at = 0.0, -1
-                for i in free:
-                    v = _iou(t["box"], mine[i][1])
-                    if v > best:
-                        best, at = v, i
+                for i, d in enumerate(free):  # intersection over union, written out as most of the time goes here
+                    bx1, by1, bx2, by2 = d[3]
+                    w = (bx2 if bx2 < ax2 else ax2) - (bx1 if bx1 > ax1 else ax1)
+                    if w <= 0:
+                        continue
+                    h = (by2 if by2 < ay2 else ay2) - (by1 if by1 > ay1 else ay1)
+                    if h <= 0:
+                        continue
+                    both = w * h
+                    union = (ax2 - ax1) * (ay2 - ay1) + (bx2 - bx1) * (by2 - by1) - both
+                    if union > 0 and both / union > best:
+                        best, at = both / union, i
                 if at < 0:
                     continue
-                score, b = mine[at]
-                low = rules.keep is not None and score <= rules.start[cls]
+                _, _, score, b = free[at]
+                low = keep is not None and score <= start
                 if best < (rules.low_iou if low else rules.iou):
                     continue
                 if low:
-                    if frame - t["sure"] > rules.max_low_run * rules.stride:
+                    if frame - t["sure"] > low_reach:
                         continue
-                    o = t["box"]
                     b = (min(o[0], b[0]), min(o[1], b[1]), max(o[2], b[2]), max(o[3], b[3]))
                 else:
                     t["sure"] = frame
-                free.remove(at)
+                del free[at]
                 t["box"], t["last"] = b, frame
                 rows.append((t["id"], cls, frame, *b, "det_low" if low else "det", before + len(rows)))
-            for i in free:
-                score, b = mine[i]
-                if rules.keep is None or score > rules.start[cls]:
-                    live[cls].append({"id": ids, "box": b, "last": frame, "sure": frame})
+            for _, _, score, b in free:
+                if keep is None or score > start:
+                    tracks.append({"id": ids, "box": b, "last": frame, "sure": frame})
                     rows.append((ids, cls, frame, *b, "det", before + len(rows)))
                     ids += 1
     state["ids"], state["rows"] = ids, before + len(rows)
@@ -105,7 +101,8 @@ def match(dets: Iterable[tuple], rules: TrackRules, state: dict) -> list[tuple]:
 def match_clip(dets: pd.DataFrame, rules: TrackRules, state: dict | None = None) -> list[tuple]:
     """`match` of one clip's detections in det_seq order; the frames of a clip may come in several calls."""
     d = dets[dets["frame_idx"].notna()].sort_values("frame_idx", kind="stable")
-    return match(zip(*[d[c].tolist() for c in INPUT[1:]]), rules, {} if state is None else state)
+    cols = [d[c].tolist() for c in INPUT[1:]]
+    return match(zip(*cols[:3], zip(*cols[3:])), rules, {} if state is None else state)
 
 
 def operating(dets: DataFrame, rules: TrackRules) -> DataFrame:
@@ -123,9 +120,13 @@ def split_small(dets: DataFrame, rules: TrackRules) -> tuple[DataFrame, DataFram
     return dets.where(~small), dets.where(small & seeds)
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-    fast = lambda c: not c.null_count and (pa.types.is_integer(c.type) or pa.types.is_floating(c.type))
-    return zip(*[c.to_numpy(zero_copy_only=False).tolist() if fast(c) else c.to_pylist() for c in batch.columns])
+def _values(c: pa.Array) -> list:
+    if pa.types.is_string(c.type) and len(c):  # few different ones: one object for each
+        c = c.dictionary_encode()
+        names = c.dictionary.to_pylist()
+        return [None if i is None else names[i] for i in c.indices.to_pylist()] if c.null_count else [names[i] for i in _values(c.indices)]
+    fast = not c.null_count and (pa.types.is_integer(c.type) or pa.types.is_floating(c.type))
+    return c.to_numpy(zero_copy_only=False).tolist() if fast else c.to_pylist()
 
 
 def match_sorted(rules: TrackRules):
@@ -137,25 +138,31 @@ def match_sorted(rules: TrackRules):
         state: dict = {}
         at: list = []
 
-        def matched(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-            found = []
-            for clip, group in groupby(rows, itemgetter(0)):
+        def matched(clips: list, dets: list[tuple]) -> Iterator[pa.RecordBatch]:
+            of, found, begin = [], [], 0
+            for clip, group in groupby(clips):
                 if at != [clip]:
                     at[:] = [clip]
                     state.clear()
-                found += [(clip, *r) for r in match((r[1:] for r in group), rules, state)]
+                end = begin + len(list(group))
+                rows = match(dets[begin:end], rules, state)
+                of += [clip] * len(rows)
+                found += rows
+                begin = end
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), out.types)], schema=out)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([of, *zip(*found)], out.types)], schema=out)
 
-        held: list[tuple] = []
+        clips, dets = [], []
         for batch in batches:
-            rows = held + list(_rows(batch))
-            n = len(rows)
-            while n and rows[n - 1][:2] == rows[-1][:2]:
+            clip, frame, cls, score, *box = [_values(c) for c in batch.columns]
+            clips += clip
+            dets += zip(frame, cls, score, zip(*box))
+            n = len(dets)
+            while n and dets[n - 1][0] == dets[-1][0] and clips[n - 1] == clips[-1]:
                 n -= 1
-            held = rows[n:]
-            yield from matched(rows[:n])
-        yield from matched(held)
+            yield from matched(clips[:n], dets[:n])
+            clips, dets = clips[n:], dets[n:]
+        yield from matched(clips, dets)
 
     return run
 
